@@ -1,7 +1,8 @@
 """The core's queries by name: each takes (spark, folder of the tables)."""
 
-from sessionloom.operators import instants
+from sessionloom.operators import hierarchy, instants
 
 QUERIES = {
     "p3_found": instants.p3_found,
+    "p5_found": hierarchy.p5_found,
 }
