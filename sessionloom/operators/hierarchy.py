@@ -129,7 +129,7 @@ def contract(nodes: DataFrame, block_rows: int = BLOCK_ROWS, rounds: int = 400)
         F.when(F.col("dist") < 0, None).when(F.col("hit"), F.col("root")).otherwise(F.col("top")).alias("root"),
         F.when((F.col("dist") < 0) | (F.col("hit") & (F.col("d") < 0)), F.lit(-1)).otherwise(F.col("dist") + F.coalesce("d", F.lit(0))).cast("int").alias("depth"),
     )
-    for t in trash[1:-1] if records else trash[1:]:
+    for t in trash[2:]:  # the first two and the last replay are still read by the result
         if t is not done:
             drop_written(t)
     return out
