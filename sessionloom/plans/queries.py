@@ -1,8 +1,10 @@
 """The core's queries by name: each takes (spark, folder of the tables)."""
 
-from sessionloom.operators import hierarchy, instants
+from sessionloom.operators import drift, hierarchy, instants
 
 QUERIES = {
     "p3_found": instants.p3_found,
     "p5_found": hierarchy.p5_found,
+    "p6_found": drift.p6_found,
+    "p6_table": drift.p6_table,
 }
