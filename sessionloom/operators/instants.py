@@ -20,14 +20,14 @@ CANONICAL = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$"
 _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?"
 _AMPM = r"(?:\s*([AaPp])\.?[Mm]\.?)?"
 _ZONE = r"(?:\s*(Z|z|[A-Za-z]{3,5}|(?:UTC|GMT)?[+-]\d{1,2}(?::?\d{2}(?::?\d{2})?)?))?(?:\s*[\[(]([A-Za-z0-9_/+-]+)[\])])?"
-_TAIL = rf"(?:[T\s,]+(?:at\s+)?{_TIME}{_AMPM}{_ZONE})?$"
+_TAIL = rf"(?:[Tt\s,]+(?:at\s+)?{_TIME}{_AMPM}{_ZONE})?$"
 _DAY = r"^(?:[A-Za-z]{3,9},?\s+)?"
 
 #: shape, pattern, replacement that brings the groups into the order
 #: year, month, day, hour, minute, second, fraction, am/pm, zone, region, separator
 SHAPES = (
     ("ymd", r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})" + _TAIL, "$1~$3~$4~$5~$6~$7~$8~$9~$10~$11~$2"),
-    ("basic", rf"^(\d{{4}})(\d{{2}})(\d{{2}})[T\s](\d{{2}})(\d{{2}})(?:(\d{{2}})(?:[.,](\d+))?)?{_ZONE}$", "$1~$2~$3~$4~$5~$6~$7~~$8~$9~"),
+    ("basic", rf"^(\d{{4}})(\d{{2}})(\d{{2}})[Tt\s](\d{{2}})(\d{{2}})(?:(\d{{2}})(?:[.,](\d+))?)?{_ZONE}$", "$1~$2~$3~$4~$5~$6~$7~~$8~$9~"),
     ("dmony", _DAY + r"(\d{1,2})[\s-]([A-Za-z]{3,9})\.?[\s-](\d{4})" + _TAIL, "$3~$2~$1~$4~$5~$6~$7~$8~$9~$10~"),
     ("mondy", _DAY + r"([A-Za-z]{3,9})\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _TAIL, "$3~$1~$2~$4~$5~$6~$7~$8~$9~$10~"),
     ("ctime", rf"^[A-Za-z]{{3,9}},?\s+([A-Za-z]{{3,9}})\s+(\d{{1,2}})\s+{_TIME}{_ZONE}\s+(\d{{4}})$", "$9~$1~$2~$3~$4~$5~$6~~$7~$8~"),
