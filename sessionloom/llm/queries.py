@@ -1,7 +1,8 @@
 """The subpackage's queries by name: each takes (spark, folder of the tables)."""
 
-from sessionloom.llm import conversations
+from sessionloom.llm import bpe, conversations
 
 QUERIES = {
     "p1_found": conversations.p1_found,
+    "p8_ids": bpe.p8_ids,
 }
