@@ -14,12 +14,15 @@ import json
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionloom.operators.instants import normalise_instants
 from sessionloom.session import written
 
 NO_PATH = "\u0001none"
-_PARTS = "valid boolean, full boolean, calls array<string>, responses int"
+_PARTS = T.StructType(
+    [T.StructField("valid", T.BooleanType()), T.StructField("full", T.BooleanType()), T.StructField("calls", T.ArrayType(T.StringType())), T.StructField("responses", T.IntegerType())]
+)
 
 
 @F.pandas_udf(_PARTS)

@@ -1,8 +1,9 @@
 """The subpackage's queries by name: each takes (spark, folder of the tables)."""
 
-from sessionloom.llm import bpe, conversations
+from sessionloom.llm import bpe, conversations, credentials
 
 QUERIES = {
     "p1_found": conversations.p1_found,
+    "p2_found": credentials.p2_found,
     "p8_ids": bpe.p8_ids,
 }
