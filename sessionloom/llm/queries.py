@@ -1,9 +1,10 @@
 """The subpackage's queries by name: each takes (spark, folder of the tables)."""
 
-from sessionloom.llm import bpe, conversations, credentials
+from sessionloom.llm import bpe, conversations, credentials, personal
 
 QUERIES = {
     "p1_found": conversations.p1_found,
     "p2_found": credentials.p2_found,
+    "p4_found": personal.p4_found,
     "p8_ids": bpe.p8_ids,
 }
