@@ -1,10 +1,14 @@
 """The subpackage's queries by name: each takes (spark, folder of the tables)."""
 
-from sessionloom.llm import bpe, conversations, credentials, personal
+from sessionloom.llm import bpe, budget, conversations, credentials, packing, personal, splitting
 
 QUERIES = {
     "p1_found": conversations.p1_found,
     "p2_found": credentials.p2_found,
     "p4_found": personal.p4_found,
+    "p7_budget": budget.p7_budget,
+    "p7_tokens": budget.p7_tokens,
     "p8_ids": bpe.p8_ids,
+    "p9_containers": packing.p9_containers,
+    "p10_pieces": splitting.p10_pieces,
 }
