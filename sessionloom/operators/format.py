@@ -18,7 +18,7 @@ def _arguments(c: Column) -> Column:
 
 
 def _quoted(text: Column) -> Column:
-    return F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    return F.when(text.isNotNull(), F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1))
 
 
 def _field(name: str, value: Column) -> Column:
