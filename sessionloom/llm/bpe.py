@@ -79,6 +79,7 @@ class Bpe:
 
     def forget(self) -> None:
         self.known, self.starts, self.tokens = _Index(), np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.notes: dict = {}  # what users keep by pretoken number
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = (a.astype(np.int64) << 32) | b
@@ -208,15 +209,21 @@ class Bpe:
         total = np.append(0, np.cumsum(np.diff(self.starts)[numbers]))
         return np.diff(np.append(0, total[ends]))
 
-    def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Of one text: the end of each pretoken in characters, and its number of tokens."""
-        words = pretokens(text)
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        start = len(self.known)
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int32)
-        self._learn(start)
-        return np.cumsum(np.fromiter(map(len, words), np.int64, len(words))), np.diff(self.starts)[numbers]
+    def number(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Each text's pretokens as numbers. They hold until the next call."""
+        numbers, ends = self._numbered(texts)
+        return np.split(numbers, ends[:-1]) if len(ends) else []
+
+    def sizes(self) -> np.ndarray:
+        """Tokens of each numbered pretoken."""
+        return np.diff(self.starts)
+
+    def count_single(self, words: list[str]) -> list[int]:
+        """Tokens of texts that are one pretoken each; numbers stay as they are."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        rest = [w for w in raw if w not in self.ranks]
+        sizes = iter(self._merge(rest)[1].tolist() if rest else ())
+        return [1 if w in self.ranks else next(sizes) for w in raw]
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -11,6 +11,8 @@ windows and overlaps that begin before it. Pieces are then taken from the text b
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -33,42 +35,64 @@ PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, CLASS, FORCED = 6, 5, 4, 3, 2, 1, 0
 _CUT = "at array<int>, tokens array<int>, level array<int>"
 
 
-def cut_table(tool: bpe.Bpe, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+_SPACE, _PLAIN, _STOP, _PAUSE, _WIDE_STOP, _WIDE_PAUSE, _QUOTE = range(7)
+
+
+def _notes(tool: bpe.Bpe) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each numbered pretoken: characters, how it ends, and how it begins (0 no white space,
+    1 blank, 2 one line break, 3 more). Computed once per distinct pretoken."""
+    old = tool.notes.get("cuts", (np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.int8)))
+    size, end, begin = [], [], []
+    for w in itertools.islice(tool.known, len(old[0]), None):
+        last = w[-1]
+        size.append(len(w))
+        if last.isspace():
+            end.append(_SPACE)
+        elif last == "'" or w[0] == "'" and last.isalpha():
+            end.append(_QUOTE)
+        elif last in _SENTENCE:
+            end.append(_STOP if last in ".!?" else _WIDE_STOP)
+        else:
+            end.append(_PLAIN if last not in _CLAUSE else _PAUSE if last in ",;:)" else _WIDE_PAUSE)
+        begin.append(0 if not w[0].isspace() else 1 + min(2, w.count("\n")))
+    new = tuple(np.append(o, np.array(n, o.dtype)) for o, n in zip(old, (size, end, begin)))
+    tool.notes["cuts"] = new
+    return new
+
+
+def cut_table(tool: bpe.Bpe, text: str, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places after which a piece may end, the tokens before each, and how natural each is.
 
     At every place but a forced one the tokens of both sides are those of the whole.
     Forced ones lie inside a long run; their counts are those of its pieces, one by one.
     """
-    words = bpe.pretokens(text)
-    ends, sizes = tool.spans(text)
-    at, tokens, level = [], [], []
-    place = total = 0
-    for k, (w, end, n) in enumerate(zip(words, ends.tolist(), sizes.tolist())):
-        if n > 8 and len(w) > RUN:
-            parts = [w[i : i + RUN] for i in range(0, len(w), RUN)]
-            for p, size in zip(parts, tool.count(parts).tolist()):
-                place += len(p)
-                total += size
-                at.append(place), tokens.append(total), level.append(FORCED)
-            at.pop(), tokens.pop(), level.pop()
-            place = end
-        else:
-            place, total = end, total + n
-        if k + 1 == len(words):
-            break
-        last, nxt = w[-1], words[k + 1]
-        if last.isspace():
-            continue
-        if nxt[0].isspace():
-            lines = nxt.count("\n")
-            level.append(PARAGRAPH if lines > 1 else LINE if lines else SENTENCE if last in _SENTENCE else CLAUSE if last in _CLAUSE else WORD)
-        elif last == "'" or (w[0] == "'" and last.isalpha()):
-            continue
-        else:
-            level.append(SENTENCE if last in _SENTENCE[3:] else CLAUSE if last in _CLAUSE[3:] else CLASS)
-        at.append(place), tokens.append(total)
-    at.append(len(text)), tokens.append(total), level.append(WORD)
-    return np.array(at, np.int64), np.array(tokens, np.int64), np.array(level, np.int8)
+    size, end, begin = (x[numbers] for x in _notes(tool))
+    n = tool.sizes()[numbers]
+    stops = np.cumsum(size)
+    long = np.flatnonzero((n > 8) & (size > RUN))
+    extra_at, extra_n, extra_of = [], [], []
+    for k in long.tolist():
+        run = text[int(stops[k] - size[k]) : int(stops[k])]
+        parts = [run[i : i + RUN] for i in range(0, len(run), RUN)]
+        counts = np.cumsum(tool.count_single(parts))
+        n[k] = counts[-1]
+        extra_at += [int(stops[k] - size[k]) + RUN * (i + 1) for i in range(len(parts) - 1)]
+        extra_n += counts[:-1].tolist()
+        extra_of += [k] * (len(parts) - 1)
+    tokens = np.cumsum(n)
+    after = np.append(begin[1:], 1)
+    wide = np.where(end == _WIDE_STOP, SENTENCE, np.where(end == _WIDE_PAUSE, CLAUSE, CLASS))
+    blank = np.where((end == _STOP) | (end == _WIDE_STOP), SENTENCE, np.where((end == _PAUSE) | (end == _WIDE_PAUSE), CLAUSE, WORD))
+    level = np.where(after == 3, PARAGRAPH, np.where(after == 2, LINE, np.where(after == 1, blank, wide)))
+    fits = (end != _SPACE) & ((after > 0) | (end != _QUOTE))
+    fits[-1] = True
+    at, total, level = stops[fits], tokens[fits], level[fits]
+    if extra_at:
+        base = (tokens - n)[extra_of] + np.array(extra_n)
+        at, total, level = np.append(at, extra_at), np.append(total, base), np.append(level, np.zeros(len(extra_at), level.dtype))
+        order = np.argsort(at, kind="stable")
+        at, total, level = at[order], total[order], level[order]
+    return at, total, level.astype(np.int8)
 
 
 def piece_ends(at: np.ndarray, tokens: np.ndarray, level: np.ndarray, total: int, low: int, high: int, stride: int, slack: int, overlap: int):
@@ -117,10 +141,12 @@ def split(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
             texts = batch.column(1)
             for begin, end in bpe.batches_of(texts):
                 part = texts.slice(begin, end - begin).to_pylist()
-                counts = tool.count(part)
+                numbers, sizes = tool.number(part), tool.sizes()
                 rows: list[list] = [[] for _ in range(7)]
-                for i in np.flatnonzero(counts > limit).tolist():
-                    at, tokens, level = cut_table(tool, part[i])
+                for i, own in enumerate(numbers):
+                    if sizes[own].sum() <= limit:
+                        continue
+                    at, tokens, level = cut_table(tool, part[i], own)
                     start = have = 0
                     for k, stop, upto, nxt, there in piece_ends(at, tokens, level, int(tokens[-1]), 0, int(tokens[-1]), stride, slack, overlap):
                         for col, v in zip(rows, (begin + i, k, start, stop, upto - have, prev - have if k else 0, part[i][start:stop])):
@@ -160,7 +186,7 @@ def _ranged(big: DataFrame, key: str, key_type: str, limit: int, overlap: int, s
         tool = bpe.load(path)
         for batch in batches:
             for i, part in enumerate(batch.column(3).to_pylist()):
-                at, tokens, level = cut_table(tool, part)
+                at, tokens, level = cut_table(tool, part, tool.number([part])[0])
                 tail = int(np.searchsorted(tokens, tokens[-1] - halo, "left"))
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(i, 1) for c in batch.columns] + [pa.array([int(tokens[-1])], pa.int64()), *[pa.array([x.tolist()], pa.list_(pa.int32())) for x in (at, tokens, level, at[tail:], tokens[tail:], level[tail:])]],
