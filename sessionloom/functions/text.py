@@ -45,14 +45,18 @@ def clamp(c: Column) -> Column:
 def round_half_even(c: Column, digits: int) -> Column:
     """Rounds a double in [0, 1] on its exact binary value, ties to even.
 
-    The double times 2**60 is a whole number, so its remainder decides exactly.
+    The double is taken apart into 30 and 53 binary digits, both exact, so that the
+    remainder of a division of whole numbers decides. (What is below 2**-30 rounds to 0.)
     """
-    one = F.lit(2**60).cast("decimal(25,0)")
-    n = (c * F.lit(float(2**60))).cast("bigint").cast("decimal(25,0)") * F.lit(10**digits).cast("decimal(5,0)")
-    q = F.floor(n / one).cast("decimal(25,0)")
-    # an exact quotient: the division above may round up, so the remainder is checked
-    q = F.when(q * one > n, q - F.lit(1).cast("decimal(1,0)")).otherwise(q)
+    scaled = c * F.lit(float(2**30))
+    high = F.floor(scaled)
+    low = ((scaled - high) * F.lit(float(2**53))).cast("bigint").cast("decimal(16,0)")
+    one = F.lit(str(2**83)).cast("decimal(25,0)")
+    n = (high.cast("decimal(10,0)") * F.lit(2**53).cast("decimal(16,0)") + low) * F.lit(10**digits).cast("decimal(4,0)")
+    q = F.floor(n / one).cast("decimal(5,0)")
+    # the division above may have rounded up
+    q = F.when(q * one > n, q - F.lit(1).cast("decimal(1,0)")).otherwise(q).cast("decimal(5,0)")
     r = n - q * one
-    half = F.lit(2**59).cast("decimal(25,0)")
+    half = F.lit(str(2**82)).cast("decimal(25,0)")
     up = (r > half) | ((r == half) & (q % F.lit(2).cast("decimal(1,0)") == 1))
     return (q + F.when(up, 1).otherwise(0)).cast("double") / F.lit(float(10**digits))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.plan import fenced
 from sessionloom.functions.text import filled
 
 # Commands whose nonzero exit is normal.
@@ -53,5 +54,5 @@ def clean(df: DataFrame, remove_orphaned: bool = True) -> DataFrame:
     removed = F.size(F.filter(messages, lambda m: (m["role"] == "tool") & failed_command(m["content"])))
     kept = F.filter(messages, keep_message)
     out = df.withColumn("_cleaned_stats", F.when(removed > 0, F.struct(removed.alias("removed_tool_results"))))
-    out = out.withColumn("messages", kept)
+    out = out.withColumn("messages", fenced(kept))
     return out.withColumn("messages", without_orphans(F.col("messages"))) if remove_orphaned else out

@@ -15,6 +15,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.plan import fenced, let
+
 CANONICAL = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$"
 
 _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?"
@@ -57,18 +59,6 @@ RESOLVED = 0.8
 _ZONES = sorted(z for z in zoneinfo.available_timezones() if z not in ("Factory", "localtime") and not z.startswith(("posix", "right")))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once: a lambda's variable is never
-    inlined by the optimizer, so long derivations keep a linear size."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def fenced(c: Column) -> Column:
-    """``c`` behind a non-deterministic guard that always holds, which keeps a filter
-    on the result from being pushed below and repeating the whole derivation."""
-    return F.when(F.rand(0) < 2, c)
-
-
 def _int(c: Column) -> Column:
     return F.when(F.length(c) > 0, c).cast("int")
 

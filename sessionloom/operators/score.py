@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.plan import fenced
 from sessionloom.functions.text import clamp, filled, round_half_even, thinking_count, token_estimate
 
 # Where signals saturate and penalties begin and end.
@@ -34,7 +35,7 @@ def _count(c: Column) -> Column:
 def metrics(df: DataFrame) -> DataFrame:
     """df + m, a struct of counts over messages. Null content is empty, null messages are none."""
     said = F.coalesce(F.col("messages"), F.array().cast(df.schema["messages"].dataType))
-    df = df.withColumn("_messages", said)
+    df = df.withColumn("_messages", fenced(said))
     user, agent, tool = (_of(F.col("_messages"), r) for r in ("user", "assistant", "tool"))
     heard = F.filter("_messages", lambda m: m["role"].isin("user", "assistant", "tool"))
     df = df.withColumn("_calls", F.flatten(F.transform(agent, lambda m: F.coalesce(m["tool_calls"], F.array().cast(_calls_type(df))))))
@@ -59,7 +60,7 @@ def metrics(df: DataFrame) -> DataFrame:
         F.exists(names, lambda n: n.isin(*READ_TOOLS)).alias("reads"),
         F.exists(names, lambda n: n.isin(*WRITE_TOOLS)).alias("writes"),
     )
-    return df.withColumn("m", m).drop("_messages", "_calls")
+    return df.withColumn("m", fenced(m)).drop("_messages", "_calls")
 
 
 def _calls_type(df: DataFrame):
@@ -96,7 +97,7 @@ def evaluate(df: DataFrame, min_turns: int = 2, min_tokens: int = 1000) -> DataF
     raw = gain - F.lit(0.30) * F.col("_p_err") - F.lit(0.20) * F.col("_p_empty")
     trivial = (m["total_messages"] < min_turns) | (m["total_tokens"] < min_tokens)
     chatter = m["tool_calls"] == 0
-    d = d.withColumn("_score", clamp(F.when(trivial, 0.0).when(chatter, F.least(raw, F.lit(CHATTER_CAP))).otherwise(raw)))
+    d = d.withColumn("_score", fenced(clamp(F.when(trivial, 0.0).when(chatter, F.least(raw, F.lit(CHATTER_CAP))).otherwise(raw))))
     two = lambda name, c: F.concat(F.lit(name + ":"), F.format_string("%.2f", round_half_even(c, 2)))
     reasons = F.array_compact(
         F.array(
@@ -110,7 +111,7 @@ def evaluate(df: DataFrame, min_turns: int = 2, min_tokens: int = 1000) -> DataF
     return d.select(
         *base,
         F.coalesce(F.col("id"), F.lit("")).alias("session_id"),
-        round_half_even(F.col("_score"), 3).alias("score"),
+        fenced(round_half_even(F.col("_score"), 3)).alias("score"),
         F.when(F.col("_score") >= GOOD, "good").when(F.col("_score") >= MAYBE, "maybe").otherwise("bad").alias("label"),
         reasons.alias("reasons"),
         F.struct(*[m[k].alias(k) for k in kept], round_half_even(F.col("_err"), 3).alias("error_ratio"), m["truly_empty_assistant"].alias("truly_empty_assistant")).alias("metrics"),

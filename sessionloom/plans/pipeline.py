@@ -1,4 +1,4 @@
-"""parse -> redact -> clean -> evaluate -> filter as one lazy plan."""
+"""parse -> redact -> clean -> evaluate -> filter in one go."""
 
 from __future__ import annotations
 
@@ -8,13 +8,19 @@ from sessionloom.operators.clean import clean
 from sessionloom.operators.format import format_for_training, keep_scored
 from sessionloom.operators.redact import Anonymizer, redact
 from sessionloom.operators.score import evaluate
+from sessionloom.session import written
 
 
 def stages(records: DataFrame, min_score: float = 0.5, min_turns: int = 2, min_tokens: int = 1000, anonymizer: Anonymizer | None = None, wordlist: str | None = None) -> dict[str, DataFrame]:
-    """The frames after each stage by name; each is lazy and builds on the one before."""
+    """The frames after each stage by name.
+
+    The redacted and the scored conversations are written once to shared storage: later
+    stages, and callers that keep several of them, then never repeat the work before, and
+    the filter's predicate isn't planned together with all that made the score.
+    """
     out = {"raw": records}
-    out["redacted"] = redact(records, anonymizer, wordlist).drop("n_redacted")
+    out["redacted"] = written(redact(records, anonymizer, wordlist).drop("n_redacted"), "redacted")
     out["cleaned"] = clean(out["redacted"])
-    out["scored"] = evaluate(out["cleaned"], min_turns, min_tokens)
+    out["scored"] = written(evaluate(out["cleaned"], min_turns, min_tokens), "scored")
     out["final"] = format_for_training(keep_scored(out["scored"], min_score))
     return out

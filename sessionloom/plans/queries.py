@@ -125,13 +125,14 @@ def parse_all(spark, sf):
     out = stitching.stitch(written(sessions, "sessions"), links, owners)
     out = out.unionByName(entries.store_sessions(*(_table(spark, sf, f"opencode_{t}") for t in ("session", "message", "part"))))
     out = out.unionByName(entries.chat_sessions(_table(spark, sf, "qwen_entries")).drop("file_path"))
-    return stages(out, min_score=0.5)["final"].select("id", "source", "score", "label", "messages")
+    # parsed once: the stages after it are narrow and read it from shared storage
+    return stages(written(out, "parsed"), min_score=0.5)["final"].select("id", "source", "score", "label", "messages")
 
 
 def first_tool_schemas(spark, sf):
     sessions = entries.chat_sessions(_table(spark, sf, "qwen_entries"))
-    t = sessions.select("id", F.posexplode("tools").alias("pos", "t"))
-    return t.select("id", F.col("pos").cast("bigint").alias("pos"), F.col("t.function.name").alias("name"), F.array_join(F.col("t.function.parameters.required"), ",").alias("required"))
+    row = lambda t, i: F.struct(i.cast("bigint").alias("pos"), t["function"]["name"].alias("name"), F.array_join(t["function"]["parameters"]["required"], ",").alias("required"))
+    return sessions.select("id", F.inline(F.transform("tools", row)))
 
 
 def first_versions(spark, sf):

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionloom.functions.plan import fenced
 from sessionloom.functions.text import NOT_WS, strip, thinking_first
 from sessionloom.operators.toolschema import first_schemas
 from sessionloom.schema import CALL, MESSAGE, METADATA, TOOL
@@ -46,13 +47,13 @@ def _sessions(rows: DataFrame, session: str, order: list[str], min_turns: int) -
     """session + messages in order, of sessions with enough messages."""
     packed = rows.where(_kept()).groupBy(session).agg(F.array_sort(F.collect_list(F.struct(*order, F.col("msg")))).alias("m"))
     # the order's columns are distinct per message, so the sort never compares messages
-    return packed.where(F.size("m") >= min_turns).select(session, F.transform("m", lambda x: x["msg"]).cast(f"array<{MESSAGE}>").alias("messages"))
+    return packed.where(F.size("m") >= min_turns).select(session, fenced(F.transform("m", lambda x: x["msg"]).cast(f"array<{MESSAGE}>")).alias("messages"))
 
 
 def _tools(sessions: DataFrame, calls: DataFrame, session: str, order: list[str]) -> DataFrame:
     tools = first_schemas(calls, [session], order)
     parsed = F.transform("tools_json", lambda t: F.from_json(t, TOOL))
-    return sessions.join(tools, session, "left").withColumn("tools", F.coalesce(parsed, F.array().cast(f"array<{TOOL}>"))).drop("tools_json")
+    return sessions.join(tools, session, "left").withColumn("tools", fenced(F.coalesce(parsed, F.array().cast(f"array<{TOOL}>")))).drop("tools_json")
 
 
 def tree_sessions(entries: DataFrame, include_thinking: bool = True, min_turns: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
