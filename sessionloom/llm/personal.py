@@ -295,7 +295,7 @@ def find(text: str | None, lexicon: Lexicon) -> list[tuple[int, int, str]]:
             t, listed, alone = score(w)
             here = lexicon.contexts.get(c, 0.0)
             title = _title_before(text, s)
-            sure = t >= 0.7 or (t >= DISCLOSED and here >= DISCLOSED) or (title and (t >= 0.25 or here >= DISCLOSED))
+            sure = t >= 0.7 or (t >= DISCLOSED and here >= DISCLOSED) or (title and (t >= 0.25 or here >= DISCLOSED)) or (t >= DISCLOSED and _with_initial(text, s) < s)
             hits.append((s, e, w, t, here, bool(sure), listed, title or alone or here >= DISCLOSED))
         n = len(hits)
         mark = [h[5] for h in hits]

