@@ -115,7 +115,7 @@ def ingest(lines: DataFrame, keys: list[str], line: str = "line", target: dict[s
                     fit = _cast(v, kind, target[name]) if name in target else None
                     if fit is not None:
                         row[name] = fit
-                    elif kind != "object" or name in target:
+                    elif kind != "object" or name in target or not v:
                         kept.append((name, json.dumps(v, ensure_ascii=False)))
                 for n in names:
                     typed[n].append(row[n])
@@ -244,7 +244,7 @@ def _aliases(pdf):
         if new != first:
             origin[new] = first
     rows = [(a, t) for a, t in origin.items() if t in TARGET and a not in TARGET]
-    return pd.DataFrame({"stream": [pdf.stream.iloc[0]] * len(rows), "alias": [a for a, _ in rows], "target": [t for _, t in rows]})
+    return pd.DataFrame({"stream": [pdf.stream.iloc[0]] * len(rows), "alias": [a for a, _ in rows], "target": [t for _, t in rows]}, dtype=object)  # an empty frame would be of floats
 
 
 def approved_renames(report: DataFrame) -> DataFrame:
@@ -253,23 +253,42 @@ def approved_renames(report: DataFrame) -> DataFrame:
     return renamed.groupBy("stream").applyInPandas(_aliases, "stream string, alias string, target string")
 
 
+def _replayed(text: Column, to: str) -> Column:
+    """``_cast`` of a rescued JSON text, as an expression."""
+    inner = F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v")
+    inner = F.when(text.startswith('"'), inner)
+    if to == "string":
+        return inner
+    if to == "boolean":
+        word = F.coalesce(F.lower(inner), text)
+        return F.when(word == "true", True).when(word == "false", False)
+    number = F.when(text.rlike("^-?[0-9]"), text).when(inner.rlike(r"^-?[0-9]{1,18}(\.[0-9]{1,18})?$"), inner)
+    real = number.try_cast("double")
+    if to == "double":
+        return F.when(F.abs(real) < 1e308, real)
+    return F.coalesce(number.try_cast("bigint"), F.when((F.abs(real) < 2.0**63) & (F.floor(real) == real), real.try_cast("bigint")))
+
+
 def promote(ingested: DataFrame, approved: DataFrame, target: dict[str, str] = TARGET) -> DataFrame:
-    """Replays rescued values of approved fields into typed columns that are still null, where they cast;
-    replayed fields leave ``rescued``."""
+    """Replays rescued values of approved fields into typed columns that are still null, where they cast.
+
+    Only what was replayed leaves ``rescued``: values that don't cast and values whose column
+    is filled already stay there. Of several aliases of one column the first that casts is taken.
+    """
     per = approved.groupBy("stream").agg(F.map_from_entries(F.collect_list(F.struct("alias", "target"))).alias("_to"))
     df = ingested.join(per, "stream", "left")
 
-    def hits(n: str) -> Column:
-        return F.map_filter("rescued", lambda k, v: F.try_element_at(F.col("_to"), k) == n)
-
-    done = {}
-    for n, t in target.items():
-        text = F.get(F.map_values(hits(n)), F.lit(0))
-        bare = F.regexp_replace(text, '^"|"$', "")
-        cast = F.when(text.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v")) if t == "string" else bare.try_cast(t)
-        done[column_of(n)] = F.coalesce(F.col(column_of(n)), cast)
-    left = F.map_filter("rescued", lambda k, v: F.try_element_at(F.col("_to"), k).isNull())
-    return df.withColumns(done).withColumn("rescued", F.when(F.col("_to").isNull(), F.col("rescued")).otherwise(left)).drop("_to")
+    def took(n: str, t: str) -> Column:
+        hits = F.map_filter("rescued", lambda k, v: F.try_element_at(F.col("_to"), k) == n)
+        fits = F.filter(F.transform(F.map_entries(hits), lambda e: F.struct(e["key"].alias("k"), _replayed(e["value"], t).alias("v"))), lambda x: x["v"].isNotNull())
+        return F.when(F.col(column_of(n)).isNull(), F.get(fits, F.lit(0)))
+
+    df = df.withColumn("_took", F.when(F.col("_to").isNotNull(), F.struct(*[took(n, t).alias(column_of(n)) for n, t in target.items()])))
+    done = {c: F.coalesce(F.col(c), F.col(f"_took.{c}.v")) for c in map(column_of, target)}
+    gone = F.array(*[F.col(f"_took.{column_of(n)}.k") for n in target])
+    # array_contains is null, not false, where a null is in the array
+    left = F.map_filter("rescued", lambda k, v: ~F.coalesce(F.array_contains(gone, k), F.lit(False)))
+    return df.withColumns(done | {"rescued": left}).drop("_to", "_took")
 
 
 def p6_found(spark, sf: str) -> DataFrame:

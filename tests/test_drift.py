@@ -25,3 +25,42 @@ def test_rescue_and_promote(spark):
     assert {r.version for r in late if r.line_id < 8} == {"1.0.0", "1.0.1"}
     assert all("app.version" not in (r.rescued or {}) for r in late)
     assert D.drift_report(ingested.limit(0)).count() == 0
+
+
+def test_promote_keeps_what_it_does_not_replay(spark):
+    lines = [
+        {"body": [{"type": "text"}], "runs": "12"},
+        {"body": 7, "runs": 1.5},
+        {"body": "said \"x\"", "runs": 3.0},
+        {"message": {"content": "own"}, "body": "other", "runs": "many"},
+        {"message": {"content": ["a"]}, "body": {}, "text": "later", "flag": 1, "extra": {}},
+        {"body": "one", "text": "two", "flag": "TRUE"},
+    ]
+    df = spark.createDataFrame([("s", i, json.dumps(x)) for i, x in enumerate(lines)] + [("t", 6, json.dumps(lines[0]))], "stream string, i int, line string")
+    approved = spark.createDataFrame([("s", "body", "message.content"), ("s", "text", "message.content"), ("s", "runs", "durationMs"), ("s", "flag", "isMeta")], "stream string, alias string, target string")
+    got = [(r.message_content, r.durationMs, r.isMeta, {k: json.loads(v) for k, v in r.rescued.items()}) for r in D.promote(D.ingest(df, ["stream", "i"]), approved).orderBy("i").collect()]
+    assert got == [
+        (None, 12, None, {"body": [{"type": "text"}]}),
+        (None, None, None, {"body": 7, "runs": 1.5}),
+        ('said "x"', 3, None, {}),
+        ("own", None, None, {"body": "other", "runs": "many"}),
+        ("later", None, None, {"message.content": ["a"], "body": {}, "flag": 1, "extra": {}}),
+        ("one", None, True, {"text": "two"}),
+        (None, None, None, {"body": [{"type": "text"}], "runs": "12"}),
+    ]
+
+
+def test_a_rename_followed_by_a_retype_loses_nothing(spark):
+    told = [f"{w} went to the {w} place again and again today" for w in ("ann", "bob", "cid", "dan", "eve", "fay")]
+    f = [("s", 0, i, json.dumps({"message": {"content": x}})) for i, x in enumerate(told)]
+    f += [("s", 1, i, json.dumps({"body": x})) for i, x in enumerate(told)]
+    f += [("s", 2, i, json.dumps({"body": [{"text": x}]})) for i, x in enumerate(told)]
+    ingested = D.ingest(spark.createDataFrame(f, "stream string, file_seq int, line_id int, line string"), ["stream", "file_seq", "line_id"])
+    table = {(r.file_seq, r.line_id): (r.message_content, r.rescued) for r in D.promote(ingested, D.approved_renames(D.drift_report(ingested))).collect()}
+    assert all(table[1, i] == (x, {}) for i, x in enumerate(told))
+    assert all(table[2, i][0] is None and json.loads(table[2, i][1]["body"]) == [{"text": x}] for i, x in enumerate(told))
+
+
+def test_a_stream_whose_renames_reach_no_target(spark):
+    report = spark.createDataFrame([("s", 1, "note", "renamed", "memo"), ("t", 1, "body", "renamed", "message.content")], "stream string, file_seq int, field string, change string, old string")
+    assert [tuple(r) for r in D.approved_renames(report).collect()] == [("t", "body", "message.content")]
