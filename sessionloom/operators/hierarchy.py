@@ -107,11 +107,13 @@ def contract(nodes: DataFrame, block_rows: int = BLOCK_ROWS, rounds: int = 400)
         graph, turn, left = graph_next, turn + 1, graph_next.count()
     if left:
         raise RuntimeError(f"contraction did not end after {rounds} rounds")
-    # backwards: loops first, then what was raked or spliced from what is settled or a root
+    # backwards: the loops of all rounds first, since what hangs below one may be raked in any
+    # later round; then what was raked or spliced from what is settled or a root
     done = solved
-    for state in reversed(records):
+    for state in records:
         loops = state.where("step = 'loop'").select("id", F.lit(None).cast("binary").alias("root"), F.lit(-1).cast("bigint").alias("d"))
         done = done.unionByName(loops)
+    for state in reversed(records):
         for step in ("splice", "rake"):
             hung = state.where(F.col("step") == step).select("id", "p", "w")
             at = done.withColumnRenamed("id", "p").withColumn("hit", F.lit(True))

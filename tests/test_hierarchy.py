@@ -1,6 +1,9 @@
 import random
 
+import pytest
+
 from sessionloom.operators import hierarchy as H
+from sessionloom.plans.oracle import SQL
 
 
 def brute(pairs):
@@ -36,3 +39,23 @@ def test_ids_are_normalised_and_empty(spark):
     df = spark.createDataFrame([(" A ", None), ("b", "a"), (None, "a"), ("  ", "a"), ("b", "a")], "u string, p string")
     assert {tuple(r) for r in H.hierarchy(df, "u", "p").collect()} == {("a", "a", 0), ("b", "a", 1)}
     assert H.hierarchy(df.limit(0), "u", "p").count() == 0
+
+
+def test_long_chains_below_a_cycle_across_blocks(spark):
+    pairs = []
+    for k in range(12):  # of a cycle's two entries one has no other child: it may be spliced in the first rounds
+        pairs += [(f"{k}a", f"{k}b"), (f"{k}b", f"{k}a"), *[(f"{k}c{i}", f"{k}c{i - 1}" if i else f"{k}a") for i in range(12)]]
+    pairs += [(f"x{i}", f"x{i - 1}" if i else None) for i in range(12)]
+    df = spark.createDataFrame([(u, p, i) for i, (u, p) in enumerate(pairs)], "uuid string, parent string, at long")
+    got = {r.uuid: (r.root_uuid, r.depth) for r in H.hierarchy(df, "uuid", "parent", "at", block_rows=1).collect()}
+    assert got == brute(pairs)
+
+
+def test_entries_in_small_blocks_are_as_the_sql_says(spark):
+    duckdb = pytest.importorskip("duckdb")
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view claude_entries as select * from '{sf}/claude_entries.parquet'")
+    want = sorted(con.execute(SQL["p5_found"]).fetchall())
+    links = H.entry_parents(spark.read.parquet(f"{sf}/claude_entries.parquet"))
+    assert sorted(tuple(r) for r in H.hierarchy(links, "uuid", "parent", "row_id", block_rows=40).collect()) == want
