@@ -23,6 +23,8 @@ from sessionloom.session import drop_written, written
 CYCLE = "cycle"
 #: Rows of one block of arrival order. A block is the unit of local work and fits a task's memory.
 BLOCK_ROWS = 100_000
+#: Most ids in one piece of a path, and rows of a block in which pieces are built.
+PIECE_IDS, PIECE_BLOCK_ROWS = 64, 25_000
 _CANON = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
@@ -137,6 +139,14 @@ def contract(nodes: DataFrame, block_rows: int = BLOCK_ROWS, rounds: int = 400)
     return out
 
 
+def _nodes(df: DataFrame, id_col: str, parent_col: str, order_col: str | None) -> DataFrame:
+    """(id, parent, ord) of each distinct normalised id, as ``contract`` takes them."""
+    order = F.col(order_col).cast("bigint") if order_col else F.monotonically_increasing_id()
+    rows = df.select(normal_id(F.col(id_col)).alias("id"), normal_id(F.col(parent_col)).alias("parent"), F.coalesce(order, F.lit(0)).alias("ord")).where("id is not null")
+    nodes = rows.select(pack_id(F.col("id")).alias("id"), pack_id(F.col("parent")).alias("parent"), "ord")
+    return nodes.groupBy("id").agg(F.min_by("parent", F.when(F.col("parent").isNotNull(), F.col("ord"))).alias("parent"), F.min("ord").alias("ord"))
+
+
 def hierarchy(df: DataFrame, id_col: str, parent_col: str, order_col: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(uuid, root_uuid, depth): one row per distinct normalised id of ``df``.
 
@@ -145,10 +155,7 @@ def hierarchy(df: DataFrame, id_col: str, parent_col: str, order_col: str | None
     ``cycle`` and depth -1. An empty table gives an empty result; other columns of
     ``df`` are not read, whatever their names.
     """
-    order = F.col(order_col).cast("bigint") if order_col else F.monotonically_increasing_id()
-    rows = df.select(normal_id(F.col(id_col)).alias("id"), normal_id(F.col(parent_col)).alias("parent"), F.coalesce(order, F.lit(0)).alias("ord")).where("id is not null")
-    nodes = rows.select(pack_id(F.col("id")).alias("id"), pack_id(F.col("parent")).alias("parent"), "ord")
-    nodes = nodes.groupBy("id").agg(F.min_by("parent", F.when(F.col("parent").isNotNull(), F.col("ord"))).alias("parent"), F.min("ord").alias("ord"))
+    nodes = _nodes(df, id_col, parent_col, order_col)
     done = contract(nodes, block_rows)
     return done.select(
         unpack_id(F.col("id")).alias("uuid"),
@@ -157,6 +164,70 @@ def hierarchy(df: DataFrame, id_col: str, parent_col: str, order_col: str | None
     )
 
 
+def _pieces(key: tuple, table: pa.Table) -> pa.Table:
+    """One block: the end of each node's path, from its piece's head to itself. A node is a head
+    at every PIECE_IDS-th depth and where its parent is outside the block."""
+    table = table.combine_chunks()
+    ids, depth, step = table.column("id").combine_chunks(), table.column("depth").to_numpy(), int(table.column("step")[0].as_py())
+    at = pc.index_in(table.column("parent").combine_chunks(), value_set=ids)
+    up = np.asarray(at.fill_null(-1).to_numpy(zero_copy_only=False), dtype=np.int64)
+    up[np.asarray(table.column("parent").is_null()) | (depth % step == 0)] = -1
+    n = len(ids)
+    cur, head, size = np.arange(n), np.arange(n), np.zeros(n, dtype=np.int64)
+    while (on := cur >= 0).any():
+        size += on
+        head = np.where(on, cur, head)
+        cur = np.where(on, up[cur], -1)
+    ends = np.cumsum(size)
+    flat = np.empty(int(ends[-1]) if n else 0, dtype=np.int64)
+    cur, back = np.arange(n), 1
+    while (on := np.flatnonzero(cur >= 0)).size:
+        flat[ends[on] - back] = cur[on]
+        cur[on] = up[cur[on]]
+        back += 1
+    uuid = table.column("uuid").combine_chunks()
+    path = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), uuid.take(pa.array(flat)))
+    top = pa.array(head)
+    out = pc.if_else(pa.array(depth[head] == 0), pa.scalar(None, pa.binary()), table.column("parent").combine_chunks().take(top))
+    return pa.table({"id": ids, "uuid": uuid, "root": table.column("root"), "depth": table.column("depth"), "head": ids.take(top), "out": out, "first": pa.array(depth - size + 1, pa.int32()), "path": path})
+
+
+def paths(df: DataFrame, id_col: str, parent_col: str, order_col: str | None = None, block_rows: int = BLOCK_ROWS, piece_ids: int = PIECE_IDS, piece_block: int = PIECE_BLOCK_ROWS) -> DataFrame:
+    """(uuid, root_uuid, depth, first_depth, path): the full path of every node of :func:`hierarchy`, from root to itself, in pieces.
+
+    A piece holds at most ``piece_ids`` ids, ``first_depth`` is the depth of its first one; the
+    pieces of a uuid in that order are its path, whatever its length. Entries on or below a cycle
+    have root ``cycle``, depth and first_depth -1 and one empty piece.
+    """
+    nodes = written(_nodes(df, id_col, parent_col, order_col), "nodes")
+    placed = written(nodes.join(contract(nodes, block_rows), "id"), "placed")
+    block = F.floor(F.col("ord") / piece_block)
+    live = placed.where("depth >= 0").select("id", "parent", "root", "depth", unpack_id(F.col("id")).alias("uuid"), block.alias("block"), F.lit(piece_ids).alias("step"))
+    piece = written(live.groupBy("block").applyInArrow(_pieces, "id binary, uuid string, root binary, depth int, head binary, out binary, first int, path array<string>"), "pieces")
+    # (head, out, up, n): the n-th piece above a head's ends at the node out and has the head up
+    above = piece.select(F.col("id").alias("out"), F.col("head").alias("up"))
+    reach = written(piece.where("id = head and out is not null").select("head", "out").join(above, "out").select("head", "out", "up", F.lit(1).alias("n")), "reach")
+    far = 1
+    while True:  # doubling: after a step, all within 2 * far pieces
+        more = reach.where(F.col("n") == far).select("head", F.col("up").alias("mid"), "n").join(reach.select(F.col("head").alias("mid"), "out", "up", F.col("n").alias("m")), "mid")
+        more = written(more.select("head", "out", "up", (F.col("n") + F.col("m")).alias("n")), "reach")
+        if more.isEmpty():
+            break
+        reach, far = reach.unionByName(more), far * 2
+    upper = reach.select("head", F.col("out").alias("id")).join(piece.select("id", "first", "path"), "id").drop("id")
+    rest = piece.select("uuid", "root", "depth", "head").join(upper, "head")
+    out = piece.select("uuid", "root", "depth", "first", "path").unionByName(rest.select("uuid", "root", "depth", "first", "path"))
+    looped = placed.where("depth < 0").select(unpack_id(F.col("id")), F.lit(CYCLE), "depth", F.lit(-1), F.array().cast("array<string>"))
+    return out.select("uuid", unpack_id(F.col("root")).alias("root_uuid"), "depth", F.col("first").alias("first_depth"), "path").union(looped)
+
+
+def descendants(pieces: DataFrame) -> DataFrame:
+    """(uuid, descendant, distance): one row for each entry below an entry, of :func:`paths`."""
+    each = pieces.select(F.col("uuid").alias("descendant"), "depth", "first_depth", F.posexplode("path").alias("pos", "uuid"))
+    distance = F.col("depth") - F.col("first_depth") - F.col("pos")
+    return each.select("uuid", "descendant", distance.alias("distance")).where("distance > 0")
+
+
 def entry_parents(entries: DataFrame) -> DataFrame:
     """(uuid, parent, row_id) of log entries with the links between files filled in.
 
@@ -186,3 +257,12 @@ def entry_parents(entries: DataFrame) -> DataFrame:
 def p5_found(spark, sf: str) -> DataFrame:
     entries = spark.read.parquet(f"{sf}/claude_entries.parquet")
     return hierarchy(entry_parents(entries), "uuid", "parent", "row_id")
+
+
+def p5_paths(spark, sf: str) -> DataFrame:
+    entries = spark.read.parquet(f"{sf}/claude_entries.parquet")
+    return paths(entry_parents(entries), "uuid", "parent", "row_id")
+
+
+def p5_descendants(spark, sf: str) -> DataFrame:
+    return descendants(p5_paths(spark, sf))

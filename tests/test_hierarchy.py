@@ -59,3 +59,26 @@ def test_entries_in_small_blocks_are_as_the_sql_says(spark):
     want = sorted(con.execute(SQL["p5_found"]).fetchall())
     links = H.entry_parents(spark.read.parquet(f"{sf}/claude_entries.parquet"))
     assert sorted(tuple(r) for r in H.hierarchy(links, "uuid", "parent", "row_id", block_rows=40).collect()) == want
+
+
+def test_paths_and_descendants(spark):
+    r = random.Random(7)
+    pairs = [(f"n{i}", f"n{r.randrange(max(0, i - 3), i)}" if i else None) for i in range(90)]
+    pairs += [("c0", "c1"), ("c1", "c0"), ("below", "c1"), ("orphan", "gone"), ("under", "orphan")]
+    df = spark.createDataFrame([(u, p, i) for i, (u, p) in enumerate(pairs)], "uuid string, parent string, at long")
+    parent = dict(pairs)
+    want = {}
+    for u, (root, depth) in brute(pairs).items():
+        want[u] = [u][: depth + 1]
+        while depth >= 0 and want[u][0] != root:
+            want[u].insert(0, parent[want[u][0]])
+    pieces = H.paths(df, "uuid", "parent", "at", block_rows=9, piece_ids=4, piece_block=20).cache()
+    got, roots = {}, {}
+    for x in sorted(pieces.collect(), key=lambda x: x.first_depth):
+        assert len(x.path) <= 4 and x.first_depth == (len(got.get(x.uuid, [])) if x.depth >= 0 else -1)
+        got[x.uuid] = got.get(x.uuid, []) + x.path
+        roots[x.uuid] = (x.root_uuid, x.depth)
+    assert got == want and roots == brute(pairs)
+    below = sorted((a, u, len(p) - 1 - i) for u, p in want.items() for i, a in enumerate(p[:-1]))
+    assert sorted(tuple(x) for x in H.descendants(pieces).collect()) == below
+    assert H.paths(df.limit(0), "uuid", "parent").count() == 0
