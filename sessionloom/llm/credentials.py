@@ -67,26 +67,26 @@ _CONTEXTS = tuple(
     (n, re.compile(p, re.I))
     for n, p in (
         # name = "value", "name": "value", name := 'value', name => value
-        ("assigned", rf"(?<![A-Za-z0-9]){_NAME}(?:{_Q}|\])?[ \t]{{0,8}}(?::=|=>|==?|:)[ \t]{{0,8}}(?:(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)|(?P<v>{_FREE}{{5,400}}))"),
-        ("argument", rf"{_Q}{_NAME}{_Q}\s*,\s*(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)"),
-        ("attribute", rf"(?:key|name)=(?P<p>{_Q}){_NAME}(?P=p)\s+value=(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)"),
-        ("element", rf"<(?P<t>(?:\w+:)?{_NAME})(?:\s[^<>]*)?>\s*(?P<v>[^<>\s]{{4,400}})\s*</(?P=t)>"),
-        ("statement", rf"\b(?:password|identified by)\s+(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)"),
-        ("option", rf"(?<![\w-])--?(?:[a-z]+-)*{_SECRET_NAME}(?:\s+|=)(?:(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)|(?P<v>{_FREE}{{5,400}}))"),
-        ("basic_option", rf"(?<![\w-])(?:-u|--user|--proxy-user)\s+(?:{_Q})?[\w.@-]+:(?P<v>{_FREE}{{4,400}})"),
-        ("sshpass", rf"\bsshpass\s+-p\s*(?:(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)|(?P<v>{_FREE}{{4,400}}))"),
-        ("client_option", rf"\b(?:mysql|mysqldump|mysqladmin|mariadb)\b[^\n|;]{{0,200}}?\s-p(?:(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)|(?P<v>{_FREE}{{5,400}}))"),
-        ("piped", rf"\b(?:echo|printf)\s+(?:-n\s+|(?:{_Q})%s(?:{_Q})\s+)?(?:(?P<q>{_Q})(?P<a>[^\n]{{4,400}}?)(?P=q)|(?P<v>{_FREE}{{5,400}}))\s*\|[^\n|]{{0,200}}(?:password|token|secret|key)-?(?:stdin|file)"),
-        ("authorization", rf"\b(?:authorization|bearer|proxy-authorization)\b{_Q}?\s{{0,4}}[:=,]?\s{{0,4}}(?:{_Q})?(?:(?:bearer|token|basic|apikey|digest)\s+)?(?P<v>{_FREE}{{8,4000}})"),
-        ("query", rf"[?&;](?:[a-z0-9_.-]*(?:token|key|secret|password|passwd|pwd|sig(?:nature)?|auth))=(?P<v>[^\s&#\"'`<>\\|]{{6,400}})"),
-        ("userinfo", r"[a-z][a-z0-9+.-]*://(?P<u>[^\s:/@\"'`<>\\]*):(?P<v>[^\s@/\"'`<>\\]{3,400})@"),
-        ("user_token", r"[a-z][a-z0-9+.-]*://(?P<v>[^\s:/@\"'`<>\\]{16,400})@"),
+        ("assigned", rf"(?<![A-Za-z0-9]){_NAME}(?:{_Q}|\])?[ \t]{{0,8}}(?::=|=>|==?|:)[ \t]{{0,8}}(?:(?P<q>{_Q})(?P<a>[^\n]{{4,}}?)(?P=q)|(?P<v>{_FREE}{{5,}}))"),
+        ("argument", rf"{_Q}{_NAME}{_Q}\s*,\s*(?P<q>{_Q})(?P<a>[^\n]{{4,}}?)(?P=q)"),
+        ("attribute", rf"(?:key|name)=(?P<p>{_Q}){_NAME}(?P=p)\s+value=(?P<q>{_Q})(?P<a>[^\n]{{4,}}?)(?P=q)"),
+        ("element", rf"<(?P<t>(?:\w+:)?{_NAME})(?:\s[^<>]*)?>\s*(?P<v>[^<>\s]{{4,}})\s*</(?P=t)>"),
+        ("statement", rf"\b(?:password|identified by)\s+(?P<q>{_Q})(?P<a>[^\n]{{4,}}?)(?P=q)"),
+        ("option", rf"(?<![\w-])--?(?:[a-z]+-)*{_SECRET_NAME}(?:\s+|=)(?:(?P<q>{_Q})(?P<a>[^\n]{{4,}}?)(?P=q)|(?P<v>{_FREE}{{5,}}))"),
+        ("basic_option", rf"(?<![\w-])(?:-u|--user|--proxy-user)\s+(?:{_Q})?[\w.@-]+:(?P<v>{_FREE}{{4,}})"),
+        ("sshpass", rf"\bsshpass\s+-p\s*(?:(?P<q>{_Q})(?P<a>[^\n]{{4,}}?)(?P=q)|(?P<v>{_FREE}{{4,}}))"),
+        ("client_option", rf"\b(?:mysql|mysqldump|mysqladmin|mariadb)\b[^\n|;]{{0,200}}?\s-p(?:(?P<q>{_Q})(?P<a>[^\n]{{4,}}?)(?P=q)|(?P<v>{_FREE}{{5,}}))"),
+        ("piped", rf"\b(?:echo|printf)\s+(?:-n\s+|(?:{_Q})%s(?:{_Q})\s+)?(?:(?P<q>{_Q})(?P<a>(?:(?!(?P=q))[^\n]){{4,}}+)(?P=q)|(?P<v>{_FREE}{{5,}}))\s*\|[^\n|]{{0,200}}(?:password|token|secret|key)-?(?:stdin|file)"),
+        ("authorization", rf"\b(?:authorization|bearer|proxy-authorization)\b{_Q}?\s{{0,4}}[:=,]?\s{{0,4}}(?:{_Q})?(?:(?:bearer|token|basic|apikey|digest)\s+)?(?P<v>{_FREE}{{8,}})"),
+        ("query", rf"[?&;](?:[a-z0-9_.-]*(?:token|key|secret|password|passwd|pwd|sig(?:nature)?|auth))=(?P<v>[^\s&#\"'`<>\\|]{{6,}})"),
+        ("userinfo", r"[a-z][a-z0-9+.-]*://(?P<u>[^\s:/@\"'`<>\\]*):(?P<v>[^\s@/\"'`<>\\]{3,})@"),
+        ("user_token", r"[a-z][a-z0-9+.-]*://(?P<v>[^\s:/@\"'`<>\\]{16,})@"),
     )
 )
 _SAID = re.compile(
     r"(?<![\w./#-])(?:password|passwort|kennwort|passphrase|passcode|contraseña|clave|senha|mot de passe|пароль|token|api[ -]?key|secret|credential)s?(?![\w./#-])(?![ -]bucket)"
-    r"(?P<w>(?:\s+[^\W\d_]+){0,6}?)\s*(?:[:=/]|—|-)?\s*(?P<v>(?=\S*\d)" + _FREE + r"{6,200})"
-    r"|(?:密码|密碼|パスワード|비밀번호|كلمة (?:المرور|السر)|口令|令牌|トークン|암호)(?P<x>[^\x21-\x7e\n]{0,12})[:：]?\s*(?P<y>(?=\S*\d)" + _FREE + r"{6,200})",
+    r"(?P<w>(?:\s+[^\W\d_]+){0,6}?)\s*(?:[:=/]|—|-)?\s*(?P<v>(?=\S*\d)" + _FREE + r"{6,})"
+    r"|(?:密码|密碼|パスワード|비밀번호|كلمة (?:المرور|السر)|口令|令牌|トークン|암호)(?P<x>[^\x21-\x7e\n]{0,12})[:：]?\s*(?P<y>(?=\S*\d)" + _FREE + r"{6,})",
     re.I,
 )
 

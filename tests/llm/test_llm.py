@@ -149,3 +149,18 @@ def test_conversations(spark):
     assert sorted(got, key=str) == sorted([("good", 0, "u1"), ("good", 1, "a1"), ("good", 2, "r1"), ("good", 3, "a2"), ("late", 0, "u"), ("late", 1, "a"), (None, 0, "u"), (None, 1, "a")], key=str)
     assert conversations.conversations(df.limit(0)).count() == 0
     assert np.unique([g[0] or "" for g in got]).size == 3
+
+
+@pytest.mark.parametrize("size", [12, 399, 401, 5000])
+def test_credentials_of_any_length(size):
+    secret = ("Ab3dE5gH7jK9mN1pQ" * (size // 17 + 1))[:size]
+    for frame in (
+        'token = "{}"', "AWS_SESSION_TOKEN={} next", "set('api_key', '{}')", '<add key="password" value="{}"/>', "<password>{}</password>", "identified by '{}'",
+        "run --token {} now", 'run --token "{}" now', "curl -u me:{} x", "sshpass -p {} ssh", "sshpass -p '{}' ssh", "mysql -u me -p{} db", "mysql -u me -p'{}' db",
+        "echo {} | docker login --password-stdin", "echo '{}' | docker login --password-stdin", "Authorization: Bearer {}", "https://h.example/x?sig={}&b=1", "postgres://me:{}@h/db",
+        "https://{}@h.example/x", "the password is {} as said", "密码：{}",
+    ):
+        text = frame.format(secret)
+        at = text.index(secret)
+        assert [f[:2] for f in credentials.find(text)] == [(at, at + size)] or size < 16, frame
+        assert size < 16 or credentials.redact(text) == frame.format(credentials._stand_in(secret)), frame
