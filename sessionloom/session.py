@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # call sites are looked up for each expression otherwise, which is most of a wide plan's making
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,5 +1,8 @@
 import json
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from sessionloom.operators import drift as D
 
 
@@ -63,4 +66,46 @@ def test_a_rename_followed_by_a_retype_loses_nothing(spark):
 
 def test_a_stream_whose_renames_reach_no_target(spark):
     report = spark.createDataFrame([("s", 1, "note", "renamed", "memo"), ("t", 1, "body", "renamed", "message.content")], "stream string, file_seq int, field string, change string, old string")
-    assert [tuple(r) for r in D.approved_renames(report).collect()] == [("t", "body", "message.content")]
+    assert [tuple(r) for r in D.approved_renames(report).collect()] == [("t", "body", "message.content", 1, None)]
+
+
+def test_aliases_hold_for_their_files(spark):
+    steps = [("s", 2, "body", "renamed", "message.content"), ("s", 4, "text", "renamed", "body"), ("s", 6, "message.content", "renamed", "text"), ("s", 7, "note", "renamed", "message.content"), ("s", 5, "memo", "renamed", "label")]
+    report = spark.createDataFrame(steps, "stream string, file_seq int, field string, change string, old string")
+    got = sorted(tuple(r) for r in D.approved_renames(report).collect())
+    assert got == [("s", "body", "message.content", 2, 4), ("s", "note", "message.content", 7, None), ("s", "text", "message.content", 4, 6)]
+    lines = [("s", seq, json.dumps({"body": f"b{seq}", "text": f"t{seq}"})) for seq in range(1, 8)] + [("u", 3, '{"body": "other"}'), (None, 3, '{"body": "none"}')]
+    table = D.promote(D.ingest(spark.createDataFrame(lines, "stream string, file_seq int, line string"), ["stream", "file_seq"]), D.approved_renames(report))
+    found = {(r.stream, r.file_seq): r.message_content for r in table.collect()}
+    assert found == {("s", 1): None, ("s", 2): "b2", ("s", 3): "b3", ("s", 4): "t4", ("s", 5): "t5", ("s", 6): None, ("s", 7): None, ("u", 3): None, (None, 3): None}
+
+
+def leaves(o, prefix=""):
+    """Dotted names and values of what isn't a filled object."""
+    for k, v in o.items():
+        if isinstance(v, dict) and v:
+            yield from leaves(v, f"{prefix}{k}.")
+        else:
+            yield prefix + k, v
+
+
+values = st.recursive(st.none() | st.booleans() | st.integers(-(2**70), 2**70) | st.floats(allow_nan=False) | st.text(max_size=6), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(max_size=4), x, max_size=3), max_leaves=8)
+objects = st.dictionaries(st.sampled_from(sorted({n.partition(".")[0] for n in D.TARGET})) | st.text(max_size=4), values, max_size=6)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(docs=st.lists(objects, min_size=1, max_size=30))
+def test_no_leaf_is_lost(spark, docs):
+    texts = [json.dumps(d, ensure_ascii=i % 2 == 0) for i, d in enumerate(docs)]
+    odd = [None, "", "  ", "[1, 2]", '"x"', "12", '{"cut": ', '{"a": 1, "a": 2}', '{"a": {"b": 1}, "a.b": 2}', '{"k": "\\ud800"}', '{"\\ud800": 1}', '{"version": "\\udc00", "n": {"a": 1, "a": 1}}', "{}", "nul", "9" * 5000]
+    rows = [(i, t, "clash") for i, t in enumerate(texts + odd)]
+    out = {r.i: r for r in D.ingest(spark.createDataFrame(rows, "i int, line string, rescued string"), ["i"]).collect()}
+    assert len(out) == len(rows)
+    for i, t, _ in rows:
+        r = out[i].asDict()
+        if r["unparsed"] is not None or t is None:
+            assert r["unparsed"] == t
+            continue
+        told = {n: r[D.column_of(n)] for n in D.TARGET if r[D.column_of(n)] is not None} | {k: json.loads(v) for k, v in r["rescued"].items()}
+        assert told == dict(leaves(json.loads(t))) and r["valid"]
+    assert [out[len(texts) + k].valid for k in range(len(odd))] == [False, False, False, True, True, True, False, True, True, True, True, True, True, False, False]
