@@ -4,6 +4,7 @@ from sessionloom.llm import bpe, budget, conversations, credentials, packing, pe
 
 QUERIES = {
     "p1_found": conversations.p1_found,
+    "p1_turns": conversations.p1_turns,
     "p2_found": credentials.p2_found,
     "p4_found": personal.p4_found,
     "p7_budget": budget.p7_budget,

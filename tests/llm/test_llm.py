@@ -145,12 +145,57 @@ def test_conversations(spark):
     }
     rows = [(f, i, 100 * k + i, *r, "UTC", 1) for k, (f, rs) in enumerate(chats.items()) for i, r in enumerate(rs)]
     df = spark.createDataFrame(rows, "file_path string, line_no int, row_id long, uuid string, type string, timestamp string, parts string, callId string, tz_name string, p int")
-    got = [(r.file_path, r.turn_no, r.uuid) for r in conversations.conversations(df).collect()]
+    got = [(r.file_path, r.turn_no, r.uuid) for r in conversations.turns(df).collect()]
     assert sorted(got, key=str) == sorted([("good", 0, "u1"), ("good", 1, "a1"), ("good", 2, "r1"), ("good", 3, "a2"), ("late", 0, "u"), ("late", 1, "a"), (None, 0, "u"), (None, 1, "a")], key=str)
-    assert conversations.conversations(df.limit(0)).count() == 0
+    assert conversations.turns(df.limit(0)).count() == 0
     assert np.unique([g[0] or "" for g in got]).size == 3
 
 
+def test_events_fold_to_the_last_version(spark):
+    t = lambda i: f"2025-01-01T00:00:{i:02d}Z"
+    say = lambda x: json.dumps([{"text": x}])
+    log = {
+        "edited": [("u", "user", t(1), say("first"), None), ("a", "assistant", t(2), say("hi"), None), ("u", "user", t(5), say("last"), None), ("u", "user", t(3), say("middle"), None), ("a", "assistant", t(9), say(" "), None)],
+        "deleted": [("u", "user", t(1), say("x"), None), ("v", "user", t(2), say("y"), None), ("v", "gone", t(3), say("y"), None), ("a", "assistant", t(4), say("z"), None)],
+        "made anew": [("u", "user", t(1), say("x"), None), ("u", "gone", t(3), None, None), ("u", "user", t(7), say("again"), None), ("a", "assistant", t(4), say("z"), None)],
+        "call taken back": [("u", "user", t(1), say("x"), None), ("a", "assistant", t(2), json.dumps([{"functionCall": {"id": "c"}}]), None), ("a", "assistant", t(3), say("no call"), None)],
+        "late version of an answer": [("u", "user", t(1), say("x"), None), ("a", "assistant", t(2), json.dumps([{"functionCall": {"id": "c"}}]), None), ("r", "tool_result", t(3), say("1"), "c"), ("r", "tool_result", t(8), say("2"), "c"), ("b", "assistant", t(4), say("y"), None)],
+        "all gone": [("u", "user", t(1), say("x"), None), ("u", "gone", t(2), None, None)],
+    }
+    rows = [(f, i, 100 * k + i, *r, "UTC", 1) for k, (f, rs) in enumerate(log.items()) for i, r in enumerate(rs)]
+    df = spark.createDataFrame(rows, "file_path string, line_no int, row_id long, uuid string, type string, timestamp string, parts string, callId string, tz_name string, versions int")
+    got = {(r.file_path, r.turn_no): (r.uuid, r.role, json.loads(r.parts)[0].get("text"), r.versions) for r in conversations.conversations(df, deletes="type = 'gone'").collect()}
+    assert got == {
+        ("edited", 0): ("u", "user", "last", 3), ("edited", 1): ("a", "assistant", "hi", 1), ("deleted", 0): ("u", "user", "x", 1), ("deleted", 1): ("a", "assistant", "z", 1),
+        ("made anew", 0): ("u", "user", "again", 2), ("made anew", 1): ("a", "assistant", "z", 1), ("call taken back", 0): ("u", "user", "x", 1), ("call taken back", 1): ("a", "assistant", "no call", 2),
+        ("late version of an answer", 0): ("u", "user", "x", 1), ("late version of an answer", 1): ("a", "assistant", None, 1), ("late version of an answer", 2): ("r", "tool", "2", 2), ("late version of an answer", 3): ("b", "assistant", "y", 1),
+    }
+
+
+def test_parts_are_read_as_json(spark):
+    texts = ['[{"text": "a"}]', '[{"text": " "}]', "[]", "{}", '{"text": "x"}', '"word"', '" "', "12", "null", "", " ", "[", '[{"text": "a"}] x', '[1],"w":2', '[1],"v":2', '[1],"end":1', "[1]},{", "['a']", '["a", {"text": ""}]', '[" "]', '[{"functionCall": {"id": "c"}}, {"functionCall": {}}, {"functionCall": null}]', '[{"functionCall": "odd"}]', '[{"functionResponse": {}}]', '[{"text": null}]', "[null]", '[{"text": "\\u00a0"}]', "x" * 100000, json.dumps([{"text": "x" * 3_000_000}]), None]
+
+    def want(text):
+        if text is None:
+            return True, False, []
+        try:
+            doc = json.loads(text)
+        except ValueError:
+            return False, True, []
+        calls, full = [], False
+        for p in doc if isinstance(doc, list) else [doc]:
+            full |= isinstance(p, (str, int)) and bool(str(p).strip())
+            if isinstance(p, dict):
+                if p.get("functionCall") is not None:
+                    calls.append(p["functionCall"].get("id") if isinstance(p["functionCall"], dict) else None)
+                full |= p.get("functionCall") is not None or p.get("functionResponse") is not None or bool((p.get("text") or "").strip())
+        return True, full, calls
+
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, parts string").select("i", conversations.read_parts(F.col("parts")).alias("p")).collect()
+    for r in rows:
+        assert (r.p.valid, r.p.full, list(r.p.calls)) == want(texts[r.i]), texts[r.i]
+
+
 @pytest.mark.parametrize("size", [12, 399, 401, 5000])
 def test_credentials_of_any_length(size):
     secret = ("Ab3dE5gH7jK9mN1pQ" * (size // 17 + 1))[:size]
