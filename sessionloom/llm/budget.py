@@ -18,8 +18,9 @@ from sessionloom.llm import bpe
 OVERSIZED = 1 << 17
 MISSING = "(missing)"
 
-#: Between two characters no pretoken spans: a word's end before white space, and a change of class not behind an apostrophe.
-_FREE = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])")
+#: Between two characters no pretoken spans: a word's end before white space, a change of class not behind an
+#: apostrophe (or behind one that isn't the first mark), and the place before the last of several white spaces.
+FREE = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])|(?<=[^\s\p{L}\p{N}]')(?=[\p{L}\p{N}])|(?<=\s)(?=\s\S)")
 
 
 def cuts(text: str, size: int) -> list[int]:
@@ -27,7 +28,7 @@ def cuts(text: str, size: int) -> list[int]:
     are those of the whole. A run without such a place stays whole."""
     out, at = [0], size
     while at < len(text):
-        m = _FREE.search(text, at)
+        m = FREE.search(text, at)
         if not m or m.start() >= len(text):
             break
         out.append(m.start())

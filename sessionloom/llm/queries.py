@@ -12,4 +12,5 @@ QUERIES = {
     "p8_ids": bpe.p8_ids,
     "p9_containers": packing.p9_containers,
     "p10_pieces": splitting.p10_pieces,
+    "p10_ranges": splitting.p10_ranges,
 }

@@ -60,10 +60,13 @@ def test_packing(spark, group):
     assert packing.pack(docs(spark, texts).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("size", [1 << 18, 300])
-def test_splitting(spark, size):
-    texts = [" ".join(f"Sentence {i} ends here." + ("\n" if i % 9 == 0 else "") for i in range(200)), "z" * 2500, "テストは7回目で失敗します。" * 90, "short", None, ""]
-    rows = sorted(splitting.split(docs(spark, texts), limit=100, overlap=10, slack=30, size=size).collect(), key=lambda r: (r.doc_id, r.piece_no))
+def test_splitting(spark):
+    texts = [" ".join(f"Sentence {i} ends here." + ("\n" if i % 9 == 0 else "") for i in range(200)), "z" * 5500, "テストは7回目で失敗します。" * 90, "short", None, "", "a;\n\n" + "q" * 2500 + " tail's end", "'s" * 300, " " * 5000 + "x"]
+    made = {}
+    for size in (1 << 18, 3000, 700):
+        made[size] = sorted(splitting.split(docs(spark, texts), limit=100, overlap=10, slack=30, size=size).collect(), key=lambda r: (r.doc_id, r.piece_no))
+    rows = made[1 << 18]
+    assert made[3000] == rows and made[700] == rows
     assert {r.doc_id for r in rows} == {i for i, t in enumerate(texts) if len(reference(t)) > 100}
     for d in {r.doc_id for r in rows}:
         own = [r for r in rows if r.doc_id == d]
@@ -74,6 +77,12 @@ def test_splitting(spark, size):
             assert r.piece == texts[d][r.start_at : r.end_at] and len(reference(r.piece)) <= 100
 
 
+def test_ranges_of_real_texts(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b = (sorted(splitting.split(table, size=size).collect()) for size in (1 << 18, 5000))
+    assert a and a == b
+
+
 SECRET = "sk-ant-api03-" + "aB3dE6gH9j" * 4
 FOUND = [
     ("password := \"Quartz9058!\"", "Quartz9058!"), ("redis://:maple%214NuhyF%2F34@h:6379/3", "maple%214NuhyF%2F34"), ("x = " + SECRET, SECRET), ("Das Passwort lautet n3XMsoTtXvV4uq und gilt", "n3XMsoTtXvV4uq"),
