@@ -50,10 +50,14 @@ def language(c: Column) -> Column:
 def count_tokens(rows: DataFrame, keys: list[str], text: str = "text", path: str | None = None, oversized: int = OVERSIZED) -> DataFrame:
     """keys + n_tokens, one row per distinct key.
 
-    Null and empty texts have 0 tokens. Rows that repeat a key (the same text logged twice)
-    count once. Keys may be null; other columns are not read.
+    Null and empty texts have 0 tokens. Rows that repeat both key and text (the same text logged
+    twice) count once; different texts of one key all count. Keys may be null; other columns are
+    not read.
     """
     path = path or bpe.default_path()
+    # a text is told from others of its key by its hash; names that start so are the function's own
+    rows = rows.select(*keys, F.xxhash64(text).alias("_of"), F.col(text).alias("_text"))
+    given, keys, text = keys, [*keys, "_of"], "_text"
     spec = ", ".join(f"`{k}` {t}" for k, t in rows.select(*keys).dtypes)
     n_keys = len(keys)
 
@@ -97,7 +101,7 @@ def count_tokens(rows: DataFrame, keys: list[str], text: str = "text", path: str
     salted = large.repartition(F.xxhash64(*keys, "chunk_no")).select(*keys, "chunk_no", "piece").mapInArrow(pieces_only, f"{spec}, chunk_no int, n bigint")
     chunks = small.unionByName(salted)
     once = chunks.groupBy(*keys, "chunk_no").agg(F.max("n").alias("n"))
-    return once.groupBy(*keys).agg(F.sum("n").alias("n_tokens"))
+    return once.groupBy(*given).agg(F.sum("n").alias("n_tokens"))
 
 
 def texts(spark, sf: str) -> DataFrame:

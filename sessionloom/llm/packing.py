@@ -106,8 +106,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
         done, rest = bins.where(F.col("size") >= full), bins.where(F.col("size") < full)
         given.append(done)
         turn, before, n = turn + 1, n, rest.count()
-        joined = done.count() + n
-        if groups == 1 or joined > 0.99 * before:
+        if groups == 1 or done.count() + n == before:
             break
     out = rest
     for g in given:
@@ -115,5 +114,16 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
     return out.select(F.col("bin").alias("container_id"), F.inline("parts"))
 
 
+def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: containers, the fewest any packing could need for their tokens, and the share of space used."""
+    each = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return each.agg(F.count("*").alias("n_containers"), F.ceil(total / capacity).alias("bound"), total.alias("n_tokens"), (total / (F.count("*") * capacity)).alias("share"))
+
+
 def p9_containers(spark, sf: str) -> DataFrame:
     return pack(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+def p9_fill(spark, sf: str) -> DataFrame:
+    return fill(p9_containers(spark, sf))

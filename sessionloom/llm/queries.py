@@ -11,6 +11,7 @@ QUERIES = {
     "p7_tokens": budget.p7_tokens,
     "p8_ids": bpe.p8_ids,
     "p9_containers": packing.p9_containers,
+    "p9_fill": packing.p9_fill,
     "p10_pieces": splitting.p10_pieces,
     "p10_ranges": splitting.p10_ranges,
 }
