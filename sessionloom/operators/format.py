@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.text import strip, valid_json
+
 
 def keep_scored(df: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Rows whose rounded score reaches the bound; a missing score is 0."""
@@ -12,9 +14,9 @@ def keep_scored(df: DataFrame, min_score: float = 0.5) -> DataFrame:
 
 
 def _arguments(c: Column) -> Column:
-    """Arguments as a JSON value: parsed where they are valid JSON, else the string itself."""
+    """Arguments as a JSON value: as they are written where that is valid JSON, else as a string."""
     text = c["function"]["arguments"]
-    return F.when(text.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(F.to_json(F.try_parse_json(text)), _quoted(text)))
+    return F.when(valid_json(text), strip(text)).otherwise(_quoted(text))
 
 
 def _quoted(text: Column) -> Column:

@@ -15,6 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sessionloom.functions.spans import Spans
+
+#: Environment variable with the path of the mnemonic word list.
+WORDLIST_VARIABLE = "SESSIONLOOM_WORDLIST"
+
 
 class Finding(NamedTuple):
     pattern_name: str
@@ -83,15 +88,17 @@ def _mnemonics(text: str, words: frozenset[str]):
 
 def scan_text(text: str | None, wordlist: str | None = None) -> list[Finding]:
     """Findings in order. Of overlapping ones the first detector wins. ``wordlist`` is the path of
-    a mnemonic word list; without it mnemonics aren't looked for."""
+    a mnemonic word list, by default that of the environment; without one mnemonics aren't looked for."""
     if not text:
         return []
     found: list[Finding] = []
+    spans = Spans()
 
     def take(name: str, start: int, end: int) -> None:
-        if not any(f.start < end and start < f.end for f in found):
+        if spans.take(start, end):
             found.append(Finding(name, start, end))
 
+    wordlist = wordlist or os.environ.get(WORDLIST_VARIABLE)
     if wordlist:
         for s, e in _mnemonics(text, _words(wordlist)):
             take("bip39_mnemonic", s, e)
@@ -161,6 +168,7 @@ def redact(df: DataFrame, anonymizer: Anonymizer | None = None, wordlist: str |
     """Contents and call arguments anonymised, then redacted; adds n_redacted. Tools, metadata, names and
     ids stay. Arguments stay JSON text. Texts go through Python once, as one array per row."""
     anonymizer = anonymizer or Anonymizer()
+    wordlist = wordlist or os.environ.get(WORDLIST_VARIABLE)  # read here: workers have their own environment
     part = F.transform("messages", lambda m: F.concat(F.array(m["content"]), F.coalesce(F.transform(m["tool_calls"], lambda c: c["function"]["arguments"]), F.array().cast("array<string>"))))
     texts = F.transform(F.flatten(part), lambda t: anonymizer.column(t))
 

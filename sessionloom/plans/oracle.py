@@ -73,7 +73,7 @@ SQL: dict[str, str] = {
         v as (select model, trim(coalesce(model, '')) as t from m)
         select model, case when contains(t, 'gpt-4') or contains(t, 'o1') or contains(t, 'o3') then 'beast' when contains(t, 'gpt') then (case when contains(t, 'codex') then 'codex' else 'gpt' end) when contains(t, 'gemini-') then 'gemini'
         when contains(t, 'claude') then 'anthropic' when contains(lower(t), 'trinity') then 'trinity' when contains(lower(t), 'kimi') then 'kimi' else 'default' end as variant, count(*) as n from v group by 1, 2""",
-    "first_versions": "select file_path, uuid, row_id, type from (select file_path, uuid, row_id, type, row_number() over (partition by file_path, uuid order by row_id) as n from qwen_entries where uuid is not null) where n = 1",
+    "first_versions": "select file_path, uuid, row_id, type from (select file_path, uuid, row_id, type, row_number() over (partition by file_path, uuid order by row_id) as n from qwen_entries) where n = 1",
     "anonymised_paths": "select project, replace(replace(replace(root_path, '/srv/ws', '/home/REDACTED_USER'), 'checkout', 'user_' || substr(sha256('checkout'), 1, 8)), 'build', 'user_' || substr(sha256('build'), 1, 8)) as path from workspaces",
     "session_chains": """with recursive e as (select file_path, line_no, row_id, type, nullif(uuid, '') as uuid, nullif(parentUuid, '') as parent, nullif(leafUuid, '') as leaf from claude_entries),
         own as (select distinct file_path, uuid from e where uuid is not null),

@@ -136,7 +136,7 @@ def first_tool_schemas(spark, sf):
 
 
 def first_versions(spark, sf):
-    e = _table(spark, sf, "qwen_entries").where("uuid is not null").select("file_path", "uuid", "row_id", "type")
+    e = _table(spark, sf, "qwen_entries").select("file_path", "uuid", "row_id", "type")
     return stitching.first_by_key(e, ["file_path", "uuid"], ["row_id"])
 
 

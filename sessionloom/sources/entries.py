@@ -32,15 +32,23 @@ def _kept(m: str = "msg") -> Column:
     return (F.coalesce(F.length(f"{m}.content"), F.lit(0)) > 0) | (F.coalesce(F.size(f"{m}.tool_calls"), F.lit(0)) > 0)
 
 
-def _blocks(content: Column) -> Column:
-    """Content as blocks, null where it is plain text."""
+def _blocks(content: Column, kind: Column) -> Column:
+    """Content as blocks, null where it is plain text.
+
+    ``kind`` says ``array`` or ``text`` where the source knows it (files do). A table of texts
+    doesn't: there an array counts as blocks if all its elements are objects with a type.
+    """
     items = F.when(content.startswith("["), F.from_json(content, "array<string>"))
-    return F.transform(items, lambda x: F.from_json(x, _BLOCK))
+    typed = F.forall(items, lambda x: x.startswith("{") & F.get_json_object(x, "$.type").isNotNull())
+    items = F.when((kind == "array") | (kind.isNull() & typed), items)
+    # a result's content is a text or an array; only the array is taken apart
+    answer = lambda x: F.when(x.contains("tool_result"), F.from_json(x, "content array<string>")["content"])
+    return F.transform(items, lambda x: F.from_json(x, _BLOCK).withField("items", answer(x)))
 
 
-def _result_text(content: Column) -> Column:
-    items = F.when(content.startswith("["), F.from_json(content, "array<string>"))
-    return F.coalesce(F.array_join(F.transform(items, lambda x: F.coalesce(F.get_json_object(x, "$.text"), x)), "\n"), content, F.lit(""))
+def _result_text(block: Column) -> Column:
+    each = F.transform(block["items"], lambda x: F.coalesce(F.when(x.startswith("{"), F.get_json_object(x, "$.text")), x))
+    return F.coalesce(F.array_join(each, "\n"), block["content"], F.lit(""))
 
 
 def _sessions(rows: DataFrame, session: str, order: list[str], min_turns: int) -> DataFrame:
@@ -68,7 +76,7 @@ def tree_sessions(entries: DataFrame, include_thinking: bool = True, min_turns:
         "file_path", F.col("line_no").cast("bigint").alias("line_no"), F.coalesce(F.col("row_id"), F.lit(0)).cast("bigint").alias("row_id") if "row_id" in entries.columns else F.lit(0).cast("bigint").alias("row_id"),
         "type", F.when(F.col("uuid") != "", F.col("uuid")).alias("uuid"), F.when(F.col("parentUuid") != "", F.col("parentUuid")).alias("parent"), F.when(F.col("leafUuid") != "", F.col("leafUuid")).alias("leaf"),
         "sessionId", F.col("timestamp").alias("ts"), "gitBranch", "cwd", "version", (F.coalesce(F.col("isCompactSummary"), F.lit(False)) | F.coalesce(F.col("isMeta"), F.lit(False))).alias("synthetic"),
-        F.col("message.model").alias("model"), F.col("message.content").alias("content"),
+        F.col("message.model").alias("model"), F.col("message.content").alias("content"), (F.col("content_kind") if "content_kind" in entries.columns else F.lit(None).cast("string")).alias("content_kind"),
     )
     at = F.struct("line_no", "row_id")
     sub = F.col("file_path").contains("/subagents/")
@@ -85,10 +93,10 @@ def tree_sessions(entries: DataFrame, include_thinking: bool = True, min_turns:
     links = facts.join(own, ["file_path", "first_parent"], "left").select(
         "file_path", F.when(F.col("own").isNull(), F.col("first_parent")).alias("first_parent"), "summary_leaf", sub.alias("is_subagent"), F.col("h.ts").alias("start_time")
     )
-    parsed = e.where("type in ('user', 'assistant')").withColumn("blocks", _blocks(F.col("content")))
+    parsed = e.where("type in ('user', 'assistant')").withColumn("blocks", _blocks(F.col("content"), F.col("content_kind")))
     results = (
         parsed.where("type = 'user'").select("file_path", "line_no", "row_id", F.posexplode("blocks").alias("k", "b")).where("b.type = 'tool_result' and b.tool_use_id <> ''")
-        .groupBy("file_path", F.col("b.tool_use_id").alias("call_id")).agg(F.max_by(F.struct(_result_text(F.col("b.content")).alias("content"), F.col("b.is_error").alias("is_error")), F.struct("line_no", "row_id", "k")).alias("r"))
+        .groupBy("file_path", F.col("b.tool_use_id").alias("call_id")).agg(F.max_by(F.struct(_result_text(F.col("b")).alias("content"), F.col("b.is_error").alias("is_error")), F.struct("line_no", "row_id", "k")).alias("r"))
     )
     real = parsed.where("not synthetic")
     texts = lambda kind, field: F.transform(F.filter("blocks", lambda b: (b["type"] == kind) & b[field].rlike(NOT_WS)), lambda b: b[field])
@@ -174,15 +182,17 @@ def store_sessions(session: DataFrame, message: DataFrame, part: DataFrame, incl
     """Sessions of a message store: session(id, directory, time_created, time_updated),
     message(id, session_id, data, time_created), part(message_id, data, time_created).
 
-    Two equi-joins; order is by time_created, then by ord (the reader's row number) or the
-    row's own text. A call's result stands directly behind the assistant turn. Rows that
+    Two equi-joins; order is by ord, the reader's own order of time_created and row number, or
+    where there is none by time_created and the row's own text. A call's result stands directly behind the assistant turn. Rows that
     are repeated whole count once.
     """
     tie = lambda df: "ord" if "ord" in df.columns else "data"
+    # ord alone decides where it is known: numbers as text would put 10 before 9
+    when = lambda df: F.lit("") if "ord" in df.columns else F.col("time_created")
     s = session.select("id", "directory", "time_created", "time_updated").distinct()
     cols = lambda df, *c: [*c, F.col(tie(df)).cast("string").alias("tie")]
-    m = message.select(*cols(message, F.col("id").alias("message_id"), "session_id", "data", "time_created")).distinct()
-    p = part.select(*cols(part, "message_id", F.col("data").alias("part"), F.col("time_created").alias("part_time"))).withColumnRenamed("tie", "part_tie").distinct()
+    m = message.select(*cols(message, F.col("id").alias("message_id"), "session_id", "data", when(message).alias("time_created"))).distinct()
+    p = part.select(*cols(part, "message_id", F.col("data").alias("part"), when(part).alias("part_time"))).withColumnRenamed("tie", "part_tie").distinct()
     m = m.withColumn("role", F.get_json_object("data", "$.role")).withColumn("model", F.coalesce(F.get_json_object("data", "$.model.modelID"), F.when(~F.coalesce(F.get_json_object("data", "$.model").startswith("{"), F.lit(False)), F.get_json_object("data", "$.model"))))
     parts = p.groupBy("message_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("part_time", "part_tie", "part"))), lambda x: F.from_json(x["part"], _OC_PART)).alias("p"))
     full = m.join(parts, "message_id", "left")

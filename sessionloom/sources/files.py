@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import glob
-import os
 import sqlite3
+import struct
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,36 +11,72 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from sessionloom.functions.text import strip, valid_json
+
 _TREE = "type string, uuid string, parentUuid string, leafUuid string, sessionId string, timestamp string, gitBranch string, cwd string, version string, isCompactSummary boolean, isMeta boolean, message struct<role:string,model:string,content:string>"
 _CHAT = "uuid string, type string, subtype string, timestamp string, message struct<parts:string>, toolCallResult struct<callId:string>"
 
 
-def lines(spark: SparkSession, paths: list[str], **options) -> DataFrame:
-    """(file_path, line_no, line) of whole files, in their order; files that aren't UTF-8 are left out."""
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything matches a path or pattern, in whatever file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path))
+
+
+def _raw_lines(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """(file_path, line_no, line): every line of every file, files split over tasks as they are large.
+
+    line_no grows along a file without being dense: the place of the line's split, then
+    its number among the lines its task read.
+    """
     if not paths:
         return spark.createDataFrame([], "file_path string, line_no bigint, line string")
     reader = spark.read
     for k, v in options.items():
         reader = reader.option(k, v)
-    whole = reader.text(paths, wholetext=True).select(F.url_decode("_metadata.file_path").alias("file_path"), "value").where(F.is_valid_utf8("value"))
-    out = whole.select("file_path", F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line_no", "line"))
-    return out.select("file_path", F.col("line_no").cast("bigint").alias("line_no"), F.trim("line").alias("line")).where("line <> ''")
+    split = F.floor(F.col("_metadata.file_block_start") / 4096)
+    number = split * F.lit(2**33) + F.monotonically_increasing_id().bitwiseAND(2**33 - 1)
+    return reader.text(paths).select(F.url_decode("_metadata.file_path").alias("file_path"), number.cast("bigint").alias("line_no"), F.col("value").alias("line"))
+
+
+def bad_files(raw: DataFrame) -> DataFrame:
+    """(file_path, error) of the files that can't be read as UTF-8 text; their sessions are left out, all others stay."""
+    return raw.where(~F.is_valid_utf8("line")).select("file_path", F.lit("not UTF-8").alias("error")).distinct()
+
+
+def lines(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """(file_path, line_no, line) in the files' order without blank lines; files that aren't UTF-8 are left out."""
+    raw = _raw_lines(spark, paths, **options)
+    return raw.join(bad_files(raw).select("file_path"), "file_path", "left_anti").withColumn("line", strip(F.col("line"))).where("line <> ''")
+
+
+def _objects(df: DataFrame) -> DataFrame:
+    """Lines that are one JSON object; keys may repeat, the last one holds."""
+    return df.where(F.col("line").startswith("{")).where(valid_json(F.col("line")))
 
 
-def _parsed(df: DataFrame, schema: str) -> DataFrame:
+def _parsed(df: DataFrame, schema: str, *more) -> DataFrame:
     """Lines that are no JSON object are skipped."""
-    ok = df.where(F.try_parse_json("line").isNotNull() & F.col("line").startswith("{"))
-    return ok.select("file_path", "line_no", F.lit(0).cast("bigint").alias("row_id"), F.from_json("line", schema).alias("j")).select("file_path", "line_no", "row_id", "j.*")
+    return _objects(df).select("file_path", "line_no", F.lit(0).cast("bigint").alias("row_id"), F.from_json("line", schema).alias("j"), *more).select("file_path", "line_no", "row_id", "j.*", *[F.col(c) for c in ("content_kind",) if more])
+
+
+_TREE_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.jsonl"}
 
 
 def tree_entries(spark: SparkSession, root: str) -> DataFrame:
-    """Entries of every .jsonl file below ``root``; none if it isn't there."""
-    paths = [root] if os.path.exists(root) else []
-    return _parsed(lines(spark, paths, recursiveFileLookup="true", pathGlobFilter="*.jsonl"), _TREE)
+    """Entries of every .jsonl file below ``root``; none if it isn't there. content_kind tells arrays from texts."""
+    is_array = F.from_json("line", "message struct<content:array<string>>")["message"]["content"].isNotNull()
+    return _parsed(lines(spark, [root] if exists(spark, root) else [], **_TREE_OPTIONS), _TREE, F.when(is_array, "array").otherwise("text").alias("content_kind"))
+
+
+def unread(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """(file_path, error) of a source's files that were left out."""
+    path, options = (root, _TREE_OPTIONS) if name == "claude" else (f"{root}/*/chats/*.jsonl", {})
+    return bad_files(_raw_lines(spark, [path] if name != "opencode" and exists(spark, path) else [], **options))
 
 
 def chat_entries(spark: SparkSession, root: str) -> DataFrame:
-    paths = [p for p in (f"{root}/*/chats/*.jsonl",) if glob.glob(p)]
+    paths = [p for p in (f"{root}/*/chats/*.jsonl",) if exists(spark, p)]
     return _parsed(lines(spark, paths), _CHAT).withColumn("parts", F.col("message.parts")).withColumn("callId", F.col("toolCallResult.callId")).drop("message", "toolCallResult")
 
 
@@ -67,8 +102,19 @@ class _StoreReader(DataSourceReader):
         names = [f.name for f in self.schema.fields if f.name != "ord"]
         with self._open() as c:
             rows = c.execute(f'select {", ".join(names)}, rowid from "{self.table}" where rowid >= ? and rowid < ?', (partition.low, partition.high))
+            timed = names.index("time_created")
             for r in rows:
-                yield tuple(None if v is None else v if isinstance(v, str) else str(v) for v in r[:-1]) + (f"{r[-1]:020d}",)
+                yield tuple(None if v is None else v if isinstance(v, str) else str(v) for v in r[:-1]) + (_order_key(r[timed]) + f"{r[-1]:020d}",)
+
+
+def _order_key(v) -> str:
+    """A text that sorts as SQLite sorts the value: nulls, then numbers by size, then texts."""
+    if v is None:
+        return "0"
+    if isinstance(v, (int, float)):
+        bits = struct.unpack(">Q", struct.pack(">d", v))[0]
+        return "1" + format(bits ^ (0xFFFFFFFFFFFFFFFF if bits >> 63 else 1 << 63), "016x")
+    return "2" + str(v) + "\x00"
 
 
 class StoreSource(DataSource):
@@ -98,7 +144,7 @@ def store_tables(spark: SparkSession, path: str, partitions: int = 8) -> tuple[D
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Records of a JSON-lines file or folder; blank and malformed lines are skipped, a missing id
     becomes the record's number among the good lines of its file."""
-    good = lines(spark, [path]).where(F.try_parse_json("line").isNotNull() & F.col("line").startswith("{"))
+    good = _objects(lines(spark, [path]))
     rows = good.select("file_path", "line_no", F.from_json("line", schema).alias("j")).select("file_path", "line_no", "j.*")
     if "id" not in rows.columns:
         return rows.drop("file_path", "line_no")
