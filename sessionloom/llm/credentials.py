@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sessionloom.functions.spans import Spans
+
 #: Lower-case words one of which every text with a credential holds.
 KEYWORDS = (
     "pass", "pwd", "secret", "token", "key", "auth", "bearer", "cred", "identified by", "private", "://", " -u ", "login",
@@ -176,9 +178,10 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
     if not parts:
         return []
     taken: list[tuple[int, int, str]] = []
+    spans = Spans()
 
     def take(start: int, end: int, kind: str) -> None:
-        if start < end and not any(s < end and start < e for s, e, _ in taken):
+        if start < end and spans.take(start, end):
             taken.append((start, end, kind))
 
     for m in _PEM.finditer(text):
@@ -320,3 +323,8 @@ def p2_found(spark, sf: str) -> DataFrame:
     records = spark.read.parquet(f"{sf}/conversation_records.parquet")
     found = find_in(texts(records.select("id", "messages")), ["id", "msg_no", "call_no"])
     return found.select("id", "msg_no", "call_no", "start_at", "end_at").distinct()
+
+
+def p2_redacted(spark, sf: str) -> DataFrame:
+    """Every record with its credentials replaced in place."""
+    return redact_records(spark.read.parquet(f"{sf}/conversation_records.parquet"))

@@ -13,16 +13,20 @@ ordinary ones are left where their context says nothing.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
-from collections import Counter
+from bisect import bisect_left
 
-import pandas as pd
+import ahocorasick
+import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as pads
 import pyarrow.fs as pafs
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.functions.spans import Spans
 from sessionloom.session import shared_dir, written
 
 #: Disclosure above which a term or a place is a name's; weight of the assumption that a context discloses nothing.
@@ -85,6 +89,41 @@ _ADDRESS = re.compile(
     r"|[一-鿿]{2,3}[都道府県](?:[一-鿿]{1,6}[市区町村])?[一-鿿ぁ-ヿ]{1,8}\d{1,3}(?:丁目|-)\d{1,3}"
 )
 
+# Words one of which every address holds, in lower case: those that end a word, those a number
+# follows, those that follow a number, and those that need nothing.
+STREETS = (
+    ("ends", [f" {w}" for w in "street st road rd lane ln avenue ave court ct close boulevard blvd drive dr way place pl terrace square crescent hill row mews parkway".split()]),
+    ("number", "straße strasse str. weg gasse platz allee ufer ring".split()),
+    ("behind", [f" {w} " for w in "rue avenue boulevard bd place chemin impasse quai allée cours route".split()]),
+    ("", "calle c/ avenida avda. av. plaza paseo rua travessa praça via viale piazza ул. улица пр. проспект пер. наб.".split() + list("市县区都道府県")),
+)
+_DIGIT, _TWO_DIGITS = re.compile(r"\d"), re.compile(r"\d[ .)/-]?\d")
+
+
+@functools.lru_cache(maxsize=1)
+def _streets():
+    a = ahocorasick.Automaton()
+    marks: dict[str, tuple[str, ...]] = {}
+    for kind, words in STREETS:
+        for w in words:
+            marks[w] = (*marks.get(w, ()), kind)
+    for w, kinds in marks.items():
+        a.add_word(w, (len(w), kinds))
+    a.make_automaton()
+    return a
+
+
+def _may_hold_address(low: str) -> bool:
+    """Whether a street's word stands where an address has one."""
+    for end, (size, kinds) in _streets().iter(low):
+        after, begin = low[end + 1 : end + 3], end - size
+        if "" in kinds or ("ends" in kinds and not after[:1].isalnum()) or ("number" in kinds and after[:1].isspace() and after[1:].isdigit()):
+            return True
+        if "behind" in kinds and begin >= 0 and (low[begin].isdigit() or low[begin] in ",sr"):
+            return True
+    return False
+
+
 _USER = r"[A-Za-z0-9_][A-Za-z0-9_.-]*"
 _LOGIN = (
     re.compile(r"(?<![A-Za-z])[A-Za-z]:(?:/|\\+)(?:Users|Documents and Settings)(?:/|\\+)(?P<u>[^\\/:*?\"<>|\n]*[^\W_][^\\/:*?\"<>|\n]*? [^\\/:*?\"<>|\n]+)(?=[\\/])", re.I),
@@ -108,12 +147,14 @@ _TITLES = frozenset("mr mrs ms miss dr prof herr frau m mme mlle sr sra srta sir
 def _formats(text: str) -> list[tuple[int, int, str]]:
     """Finds of all kinds but person, and ('other') the mailboxes and machine accounts in which no name counts."""
     out: list[tuple[int, int, str]] = []
+    spans = Spans()
 
     def take(s: int, e: int, kind: str) -> None:
-        if not any(a < e and s < b for a, b, _ in out):
+        if spans.take(s, e):
             out.append((s, e, kind))
 
     low = text.lower()
+    numbered = _TWO_DIGITS.search(text) is not None
     if "@" in low or "at" in low or "＠" in low:
         for m in _EMAIL.finditer(text):
             local = m[0].split("@")[0].lower()
@@ -129,11 +170,11 @@ def _formats(text: str) -> list[tuple[int, int, str]]:
                 continue
             local = m["u"].lower().split("+")[0]
             take(m.start(), m.end(), "other" if local in ROLES or _SERVICE.match(local) else "email")
-    for m in _ADDRESS.finditer(text):
+    for m in _ADDRESS.finditer(text) if _DIGIT.search(text) and (len(low) != len(text) or _may_hold_address(low)) else ():
         take(m.start(), m.end(), "address")
     for m in _LABEL.finditer(text) if any(w in low for w in _LABELS) else ():
         take(*m.span(m.lastgroup), "idnum")
-    for m in _BARE_ID.finditer(text):
+    for m in _BARE_ID.finditer(text) if numbered else ():
         v, before = re.sub("[ -]", "", m[0]), text[max(0, m.start() - 16) : m.start()]
         if m.lastgroup in ("dni", "nie"):
             n = int(str("XYZ".find(v[0])) + v[1:8]) if m.lastgroup == "nie" else int(v[:8])
@@ -142,7 +183,7 @@ def _formats(text: str) -> list[tuple[int, int, str]]:
         if m.lastgroup in ("ssn", "cpf") and _NO_PHONE.search(before):
             continue
         take(m.start(), m.end(), "idnum")
-    for m in _PHONE.finditer(text):
+    for m in _PHONE.finditer(text) if numbered else ():
         digits = sum(c.isdigit() for c in m[0])
         if not 8 <= digits <= 15 or _NO_PHONE.search(text[max(0, m.start() - 16) : m.start()]):
             continue
@@ -171,14 +212,23 @@ def runs(text: str, blocked: list[tuple[int, int, str]]):
     what stands before and after the run; it never holds a name itself.
     """
     taken = sorted(blocked)
+    begins = [x[0] for x in taken]
     toks = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(text)]
-    spans, b = [], 0
+    spans = [False] * len(toks)
     for i, (s, e, w) in enumerate(toks):
-        while b < len(taken) and taken[b][1] <= s:
-            b += 1
-        inside = b < len(taken) and taken[b][0] < e
-        glued = (s > 0 and (text[s - 1] in "_/\\.@#$" or text[s - 1].isdigit()) and not (text[s - 1] == "." and s > 1 and text[s - 2].isupper())) or (e < len(text) and (text[e] in "_/\\@(" or text[e].isdigit() or (text[e] == "." and e + 1 < len(text) and text[e + 1].isalpha())))
-        spans.append(bool(w[0].isalpha() and not inside and not glued and len(w) > 1 and _upper(w) and not _SHORTENED.search(w)))
+        if len(w) < 2 or not w[0].isupper() or w.isupper() or _SHORTENED.search(w):
+            continue
+        at = bisect_left(begins, e)
+        if at and taken[at - 1][1] > s:
+            continue
+        before, after = text[s - 1] if s else "", text[e] if e < len(text) else ""
+        if before and (before in "_/\\.@#$" or before.isdigit()) and not (before == "." and s > 1 and text[s - 2].isupper()):
+            continue
+        if after and (after in "_/\\@(" or after.isdigit() or (after == "." and e + 1 < len(text) and text[e + 1].isalpha())):
+            continue
+        spans[i] = True
+    if True not in spans:
+        return
     i = 0
     while i < len(toks):
         if not spans[i]:
@@ -216,19 +266,34 @@ def term(w: str) -> str:
     return re.sub(r"['’]s$", "", w).lower()
 
 
-def context_counts(rows: DataFrame, text: str = "text") -> DataFrame:
-    """(term, context, n) over the whole corpus; counted within batches before the shuffle."""
+_SCANNED = "b_start array<int>, b_end array<int>, b_kind array<string>, r_no array<int>, r_start array<int>, r_end array<int>, r_term array<string>, r_ctx array<string>"
+_LISTS = (*[pa.list_(pa.int32())] * 2, pa.list_(pa.string()), *[pa.list_(pa.int32())] * 3, *[pa.list_(pa.string())] * 2)
+
+
+def _scanned(text: str | None) -> tuple[list, ...]:
+    """Formats (start, end, kind) and words of runs (run, start, end, term, context) of a text, as lists."""
+    blocked = _formats(text) if text else []
+    words = [(n, s, e, term(w), c) for n, r in enumerate(runs(text, blocked)) for s, e, w, c in r] if text else []
+    return *(map(list, zip(*blocked)) if blocked else ([],) * 3), *(map(list, zip(*words)) if words else ([],) * 5)
+
+
+def scan(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, the text, and what its one reading gave: formats and candidates with their contexts."""
+    spec = "".join(f"`{k}` {t}, " for k, t in rows.select(*keys).dtypes)
+    names = [x.split()[0] for x in _SCANNED.split(", ")]
 
     def run(batches):
         for batch in batches:
-            n: Counter = Counter()
-            for t in batch.column(0).to_pylist():
-                if t:
-                    for r in runs(t, _formats(t)):
-                        n.update((term(w), c) for _, _, w, c in r)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "context", "n"])
+            done = list(zip(*map(_scanned, batch.column(len(keys)).to_pylist()))) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, t) for c, t in zip(done, _LISTS)]], names=[*keys, text, *names])
 
-    return rows.select(text).mapInArrow(run, "term string, context string, n bigint").groupBy("term", "context").agg(F.sum("n").alias("n"))
+    return rows.select(*keys, text).mapInArrow(run, f"{spec}`{text}` string, {_SCANNED}")
+
+
+def context_counts(scanned: DataFrame) -> DataFrame:
+    """(term, context, n) over the whole corpus, by partial aggregates."""
+    each = scanned.select(F.inline(F.arrays_zip(F.col("r_term").alias("term"), F.col("r_ctx").alias("context"))))
+    return each.groupBy("term", "context").agg(F.count("*").alias("n"))
 
 
 def disclosure(counts: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -256,18 +321,47 @@ def disclosure(counts: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFram
 
 
 class Lexicon:
-    """What discloses a person: terms and contexts above the threshold."""
+    """What discloses a person: terms (score, listed, alone) and contexts above the threshold."""
 
     def __init__(self, terms: dict[str, tuple[float, bool, bool]], contexts: dict[str, float]):
         self.terms, self.contexts = terms, contexts
 
 
+class Stored:
+    """A lexicon as sorted hashes: 13 bytes a term and 12 a context, so ten million names take 130 MB of a
+    worker. A batch of texts asks for all its words at once and gets a small :class:`Lexicon`."""
+
+    def __init__(self, folder: str):
+        t, c = _table(f"{folder}/terms"), _table(f"{folder}/contexts")
+        self.terms = self._sorted(t, np.float32, "score") + self._sorted(t, np.uint8, "marks")[1:]
+        self.contexts = self._sorted(c, np.float32, "score")
+
+    @staticmethod
+    def _sorted(table: pa.Table, kind, value: str) -> tuple[np.ndarray, np.ndarray]:
+        hashes = table["hash"].to_numpy()
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], table[value].to_numpy()[order].astype(kind)
+
+    @staticmethod
+    def _places(hashes: np.ndarray, words: list[str]):
+        """(word, place) of those that are there."""
+        if not len(hashes) or not words:
+            return
+        asked = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words)).view(np.int64)
+        at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
+        for i in np.flatnonzero(hashes[at] == asked).tolist():
+            yield words[i], at[i]
+
+    def of(self, terms: set[str], contexts: set[str]) -> Lexicon:
+        hashes, score, marks = self.terms
+        known = {w: (float(score[i]), bool(marks[i] & 1), bool(marks[i] & 2)) for w, i in self._places(hashes, list(terms))}
+        return Lexicon(known, {c: float(self.contexts[1][i]) for c, i in self._places(self.contexts[0], list(contexts))})
+
+
 @functools.lru_cache(maxsize=4)
-def _read_lexicon(folder: str) -> Lexicon:
+def _read_lexicon(folder: str) -> Stored:
     """Loaded once per worker from the shared folder; nothing passes through the driver."""
-    read = lambda name: _table(f"{folder}/{name}")
-    t, c = read("terms"), read("contexts")
-    return Lexicon({w: (s, listed, alone) for w, s, listed, alone in zip(*(t[k].to_pylist() for k in ("term", "score", "listed", "alone")))}, dict(zip(c["context"].to_pylist(), c["score"].to_pylist())))
+    return Stored(folder)
 
 
 def _table(uri: str) -> pa.Table:
@@ -284,16 +378,24 @@ def find(text: str | None, lexicon: Lexicon) -> list[tuple[int, int, str]]:
 
     Null and empty texts give an empty list. Positions count code points.
     """
-    if not text:
-        return []
-    blocked = _formats(text)
+    return _judged(text, *_scanned(text), set(_WORD.findall(text)), lexicon) if text else []
+
+
+def _judged(text: str, b_start: list, b_end: list, b_kind: list, r_no: list, r_start: list, r_end: list, r_term: list, r_ctx: list, words: set[str], lexicon: Lexicon) -> list[tuple[int, int, str]]:
+    """What of a scanned text is personal, by the lexicon."""
+    blocked, spans = list(zip(b_start, b_end, b_kind)), Spans()
+    for s, e, _ in blocked:
+        spans.take(s, e)
     out = [x for x in blocked if x[2] != "other"]
-    score = lambda w: lexicon.terms.get(term(w), (0.0, False, False))
-    for r in runs(text, blocked):
+    terms, contexts = lexicon.terms, lexicon.contexts
+    for _, group in itertools.groupby(zip(r_no, r_start, r_end, r_term, r_ctx), lambda x: x[0]):
+        r = list(group)
+        if not any(x[3] in terms or x[4] in contexts for x in r):
+            continue
         hits = []
-        for s, e, w, c in r:
-            t, listed, alone = score(w)
-            here = lexicon.contexts.get(c, 0.0)
+        for _, s, e, w, c in r:
+            t, listed, alone = terms.get(w, (0.0, False, False))
+            here = contexts.get(c, 0.0)
             title = _title_before(text, s)
             sure = t >= 0.7 or (t >= DISCLOSED and here >= DISCLOSED) or (title and (t >= 0.25 or here >= DISCLOSED)) or (t >= DISCLOSED and _with_initial(text, s) < s)
             hits.append((s, e, w, t, here, bool(sure), listed, title or alone or here >= DISCLOSED))
@@ -324,12 +426,14 @@ def find(text: str | None, lexicon: Lexicon) -> list[tuple[int, int, str]]:
             if k == last and s == hits[k][0] and not hits[k][7]:
                 k = last + 1
                 continue
-            if not any(a < e and s < b for a, b, _ in blocked):
+            if spans.free(s, e):
                 out.append((s, e, "person"))
             k = last + 1
-    done = sorted(out)
-    for s, e in _lower_pairs(text, lexicon, blocked):
-        if not any(a < e and s < b for a, b, _ in done):
+    kept = Spans()
+    for s, e, _ in out:
+        kept.take(s, e)
+    for s, e in _lower_pairs(text, lexicon, words):
+        if kept.free(s, e):
             out.append((s, e, "person"))
     return sorted(out)
 
@@ -348,21 +452,29 @@ def _with_initial(text: str, s: int) -> int:
     return s - len(m[1]) if m and text[s - 1 : s] in " ." else s
 
 
-def _lower_pairs(text: str, lexicon: Lexicon, blocked):
-    """Two neighbouring lower-case words that are both names."""
+_LOWER = re.compile(r"(?<![\w@./\\-])[^\W\d_]{3,}(?:-[^\W\d_]{3,})?(?![\w@/\\]|\.\w)")
+
+
+_WORD = re.compile(r"[^\W\d_]{3,}")
+
+
+def _is_name(known: tuple[float, bool, bool] | None) -> bool:
+    return known is not None and (known[0] >= 0.7 or (known[1] and known[0] >= 0.4))
+
+
+def _lower_pairs(text: str, lexicon: Lexicon, words: set[str]):
+    """Two neighbouring lower-case words that are both names; ``words`` are all words of the text."""
+    if not any(w.islower() and _is_name(lexicon.terms.get(w)) for w in words & lexicon.terms.keys()):
+        return
     prev = None
-    for m in re.finditer(r"(?<![\w@./\\-])[^\W\d_]{3,}(?:-[^\W\d_]{3,})?(?![\w@/\\]|\.\w)", text):
-        w = m[0]
-        if not w.islower():
+    for m in _LOWER.finditer(text):
+        if not (m[0].islower() and _is_name(lexicon.terms.get(m[0].split("-")[0]))):
             prev = None
-            continue
-        known = lexicon.terms.get(w.split("-")[0], (0.0, False, False))
-        name = known[0] >= 0.7 or (known[1] and known[0] >= 0.4)
-        if name and prev is not None and text[prev.end() : m.start()] == " ":
+        elif prev is not None and text[prev.end() : m.start()] == " ":
             yield prev.start(), m.end()
             prev = None
         else:
-            prev = m if name else None
+            prev = m
 
 
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "idnum": "[ID_NUMBER]", "address": "[ADDRESS]", "person": "[PERSON]", "login": "[LOGIN]"}
@@ -370,8 +482,12 @@ PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "idnum": "[ID_NUMBER]",
 
 def sanitise(text: str | None, lexicon: Lexicon) -> str | None:
     """The text with a typed placeholder in each place; everything else is unchanged."""
+    return _replaced(text, find(text, lexicon))
+
+
+def _replaced(text: str | None, finds: list[tuple[int, int, str]]) -> str | None:
     out, last = [], 0
-    for s, e, kind in find(text, lexicon):
+    for s, e, kind in finds:
         out += [text[last:s], PLACEHOLDERS[kind]]
         last = e
     return text if not out else "".join(out) + text[last:]
@@ -385,49 +501,74 @@ def texts(records: DataFrame) -> DataFrame:
 
 
 def lexicon_folder(rows: DataFrame, names: DataFrame) -> str:
-    """Learns the disclosure of terms and contexts from all rows and writes it to the shared folder."""
+    """Learns the disclosure of terms and contexts from all rows (texts, or what :func:`scan` gave) and writes it to the shared folder."""
     import uuid
 
-    terms, contexts = disclosure(context_counts(rows), names)
+    scanned = rows if "r_term" in rows.columns else scan(rows, [])
+    terms, contexts = disclosure(context_counts(scanned), names)
     folder = f"{shared_dir(rows.sparkSession)}/lexicon-{uuid.uuid4().hex}"
-    terms.where("score >= 0.25 or kind is not null").select("term", "score", F.col("kind").isNotNull().alias("listed"), (F.col("share") >= ALONE).alias("alone")).write.parquet(f"{folder}/terms")
-    contexts.where(F.col("score") >= 0.3).write.parquet(f"{folder}/contexts")
+    marks = F.col("kind").isNotNull().cast("int") + 2 * (F.col("share") >= ALONE).cast("int")
+    terms.where("score >= 0.25 or kind is not null").select(F.xxhash64("term").alias("hash"), F.col("score").cast("float").alias("score"), marks.alias("marks")).write.parquet(f"{folder}/terms")
+    contexts.where(F.col("score") >= 0.3).select(F.xxhash64("context").alias("hash"), F.col("score").cast("float").alias("score")).write.parquet(f"{folder}/contexts")
     return folder
 
 
+def _judge(batch: pa.RecordBatch, at: int, stored: Stored) -> list[tuple[str | None, list[tuple[int, int, str]]]]:
+    """Each text of a scanned batch and its finds; the batch's words are looked up at once."""
+    texts, *lists = (batch.column(i).to_pylist() for i in range(at, at + 9))
+    words = [set(_WORD.findall(t)) if t else set() for t in texts]
+    lexicon = stored.of(set(itertools.chain.from_iterable(lists[6])).union(*words), set(itertools.chain.from_iterable(lists[7])))
+    return [(t, _judged(t, *row, lexicon) if t else []) for t, *row in zip(texts, *lists, words)]
+
+
 def find_in(rows: DataFrame, keys: list[str], folder: str, text: str = "text") -> DataFrame:
-    """keys + (start_at, end_at, kind), one row per occurrence."""
+    """keys + (start_at, end_at, kind), one row per occurrence. ``rows`` are texts, or what :func:`scan` gave of them."""
     spec = ", ".join(f"`{k}` {t}" for k, t in rows.select(*keys).dtypes)
+    scanned = rows if "r_term" in rows.columns else scan(rows, keys, text)
 
     def run(batches):
-        lexicon = _read_lexicon(folder)
+        stored = _read_lexicon(folder)
         for batch in batches:
             at, starts, ends, kinds = [], [], [], []
-            for i, t in enumerate(batch.column(len(keys)).to_pylist()):
-                for s, e, k in find(t, lexicon):
+            for i, (_, finds) in enumerate(_judge(batch, len(keys), stored)):
+                for s, e, k in finds:
                     at.append(i), starts.append(s), ends.append(e), kinds.append(k)
             rows_ = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([*[c.take(rows_) for c in batch.columns[: len(keys)]], pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(kinds, pa.string())], names=[*keys, "start_at", "end_at", "kind"])
 
-    return rows.select(*keys, text).mapInArrow(run, f"{spec}, start_at int, end_at int, kind string")
+    return scanned.mapInArrow(run, f"{spec}, start_at int, end_at int, kind string")
 
 
 def sanitise_rows(rows: DataFrame, keys: list[str], folder: str, text: str = "text") -> DataFrame:
-    """keys + the text with placeholders."""
+    """keys + the text with placeholders. ``rows`` as for :func:`find_in`."""
     spec = ", ".join(f"`{k}` {t}" for k, t in rows.select(*keys).dtypes)
+    scanned = rows if "r_term" in rows.columns else scan(rows, keys, text)
 
     def run(batches):
-        lexicon = _read_lexicon(folder)
+        stored = _read_lexicon(folder)
         for batch in batches:
-            clean = pa.array([sanitise(t, lexicon) for t in batch.column(len(keys)).to_pylist()], pa.string())
+            clean = pa.array([_replaced(t, finds) for t, finds in _judge(batch, len(keys), stored)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], clean], names=[*keys, text])
 
-    return rows.select(*keys, text).mapInArrow(run, f"{spec}, `{text}` string")
+    return scanned.mapInArrow(run, f"{spec}, `{text}` string")
 
 
-def p4_found(spark, sf: str) -> DataFrame:
+def _scanned_records(spark, sf: str) -> tuple[DataFrame, str]:
+    """The scanned texts of conversation_records, written, and the lexicon learned from them."""
     records = spark.read.parquet(f"{sf}/conversation_records.parquet").select("id", "messages", "metadata")
     names = spark.read.parquet(f"{sf}/name_list.parquet")
-    rows = texts(records)
-    found = find_in(rows, ["id", "msg_no"], lexicon_folder(rows, names))
-    return found.select("id", "msg_no", "start_at", "kind").distinct()
+    scanned = written(scan(texts(records), ["id", "msg_no"]), "scanned")
+    return scanned, lexicon_folder(scanned, names)
+
+
+def p4_found(spark, sf: str) -> DataFrame:
+    return find_in(*_keyed(*_scanned_records(spark, sf))).select("id", "msg_no", "start_at", "kind").distinct()
+
+
+def p4_sanitised(spark, sf: str) -> DataFrame:
+    """(id, msg_no, text): every content, and every cwd as msg_no -1, with placeholders."""
+    return sanitise_rows(*_keyed(*_scanned_records(spark, sf)))
+
+
+def _keyed(scanned: DataFrame, folder: str) -> tuple[DataFrame, list[str], str]:
+    return scanned, ["id", "msg_no"], folder

@@ -6,7 +6,9 @@ QUERIES = {
     "p1_found": conversations.p1_found,
     "p1_turns": conversations.p1_turns,
     "p2_found": credentials.p2_found,
+    "p2_redacted": credentials.p2_redacted,
     "p4_found": personal.p4_found,
+    "p4_sanitised": personal.p4_sanitised,
     "p7_budget": budget.p7_budget,
     "p7_tokens": budget.p7_tokens,
     "p8_ids": bpe.p8_ids,
