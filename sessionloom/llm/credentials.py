@@ -14,6 +14,7 @@ import functools
 import json
 import math
 import re
+import zlib
 from collections import Counter
 
 import ahocorasick
@@ -55,6 +56,13 @@ ISSUERS = (
 )
 _ISSUED = re.compile("|".join(rf"(?P<{n}>(?<![A-Za-z0-9_.-]){p}(?![A-Za-z0-9]))" for n, p in ISSUERS) + "|" + "|".join(rf"(?P<{n}_>(?<=[=:]){p})" for n, p in ISSUERS[:1]))
 
+# How issuers' tokens begin; their formats are tried nowhere else.
+STARTS = (
+    "sk-", "AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "SG.", "GOCSPX-", "AIza", "sk_live_", "sk_test_", "rk_live_", "rk_test_",
+    "hf_", "npm_", "pypi-AgEI", "dop_v1_", "shpat_", "shpca_", "shppa_", "shpss_", "ya29.", "eyJ",
+)
+_BASE62 = {c: i for i, c in enumerate("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")}
+
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----(.*?)-----END \1-----", re.S)
 
 _SECRET_NAME = (
@@ -85,6 +93,13 @@ _CONTEXTS = tuple(
         ("user_token", r"[a-z][a-z0-9+.-]*://(?P<v>[^\s:/@\"'`<>\\]{16,})@"),
     )
 )
+_NAMES = ("pass", "pwd", "pswd", "secret", "token", "key", "auth", "cred")
+#: What a line (in lower case) must hold for a context to be looked for: one of each group.
+_MARKS = {
+    "assigned": (_NAMES, ("=", ":")), "argument": (_NAMES, (",",)), "attribute": (_NAMES, ("value=",)), "element": (_NAMES, ("</",)), "statement": (("password", "identified"),), "option": (_NAMES, ("-",)),
+    "basic_option": (("-u", "--user", "--proxy-user"),), "sshpass": (("sshpass",),), "client_option": (("mysql", "mariadb"),), "piped": (("echo", "printf"), ("|",)), "authorization": (("authorization", "bearer"),),
+    "query": (("?", "&", ";"), ("=",)), "userinfo": (("://",),), "user_token": (("://",),),
+}
 _SAID = re.compile(
     r"(?<![\w./#-])(?:password|passwort|kennwort|passphrase|passcode|contraseña|clave|senha|mot de passe|пароль|token|api[ -]?key|secret|credential)s?(?![\w./#-])(?![ -]bucket)"
     r"(?P<w>(?:\s+[^\W\d_]+){0,6}?)\s*(?:[:=/]|—|-)?\s*(?P<v>(?=\S*\d)" + _FREE + r"{6,})"
@@ -106,15 +121,33 @@ _WORDY = re.compile(r"^[a-z]+(?:[_.-][a-z]+)*(?:_\d+)?$|^[A-Z]+(?:_[A-Z]+)+$|^[A
 _PATH = re.compile(r"^(?:\.{0,2}/|~/|[A-Za-z]:\\|https?:)|^[\w.-]+(?:/[\w.-]+)+\.[a-z]{1,5}(?:#.*)?$|^[\w-]+\.(?:md|py|js|ts|json|ya?ml|toml|rs|go|sh|sql|java|txt|env|pem|key)$")
 
 
-@functools.lru_cache(maxsize=1)
-def _automaton():
+@functools.lru_cache(maxsize=2)
+def _automaton(words: tuple[str, ...] = KEYWORDS):
     a = ahocorasick.Automaton()
-    for w in KEYWORDS:
-        a.add_word(w, True)
+    for w in words:
+        a.add_word(w, len(w))
     a.make_automaton()
     return a
 
 
+def _issued(text: str):
+    """Matches of the issuers' formats, tried only where one of their beginnings stands."""
+    last = 0
+    for at in sorted({end - size + 1 for end, size in _automaton(STARTS).iter(text)}):
+        if at >= last and (m := _ISSUED.match(text, at)):
+            last = m.end()
+            yield m
+
+
+def checksum_fits(token: str) -> bool:
+    """Whether a GitHub token ends with the CRC-32 of its middle, in six digits of base 62."""
+    body, tail = token[4:-6], token[-6:]
+    value = 0
+    for c in tail:
+        value = value * 62 + _BASE62.get(c, 0)
+    return token[:2] == "gh" and value == zlib.crc32(body.encode())
+
+
 def entropy(text: str) -> float:
     n = len(text)
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
@@ -187,14 +220,21 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
     for m in _PEM.finditer(text):
         if len(re.findall(r"[A-Za-z0-9+/=]", re.sub(r"\\[nrt]", "", m[2]))) >= 24:
             take(m.start(), m.end(), "private_key")
-    for m in _ISSUED.finditer(text):
+    for m in _issued(text):
         v, kind = m[0], m.lastgroup.rstrip("_")
+        # a fitting checksum proves a token; without one its text must look like one
+        if kind == "github_token" and checksum_fits(v):
+            take(m.start(), m.end(), kind)
+            continue
         if kind == "jwt" and not _jwt_ok(v) or _PLACEHOLDER.search(v) or not re.search(r"\d|[A-Z]", v[4:]) or entropy(v) < 2.5:
             continue
         take(m.start(), m.end(), kind)
     found = []
     for begin, stop in parts:
+        line = text[begin:stop].lower()
         for kind, pattern in _CONTEXTS:
+            if not all(any(w in line for w in group) for group in _MARKS[kind]):
+                continue
             at = begin
             while m := pattern.search(text, at, stop):
                 at = m.start() + 1 if m.end() == m.start() else m.end()

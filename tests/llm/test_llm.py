@@ -111,6 +111,19 @@ def test_credentials(spark):
     assert "Quartz" not in out["a"].messages[0].content and SECRET not in out["a"].messages[1].tool_calls[0].function.arguments and out["b"].messages is None
 
 
+def test_token_checksums():
+    import zlib
+
+    digits, body = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "aaaabbbbccccddddeeeeffffgggghh"
+    n, tail = zlib.crc32(body.encode()), ""
+    for _ in range(6):
+        n, tail = n // 62, digits[n % 62] + tail
+    token = f"ghp_{body}{tail}"
+    assert credentials.checksum_fits(token) and not credentials.checksum_fits(token[:-1] + ("0" if token[-1] != "0" else "1"))
+    assert [f[:2] for f in credentials.find(f"x {token} y")] == [(2, 42)]
+    assert credentials.find("x ghp_" + "a" * 36) == []
+
+
 def test_personal_formats():
     none = personal.Lexicon({}, {})
     cases = [("mail jo@farn.example now", "email", "jo@farn.example"), ("mbr [at] quill [dot] test", "email", "mbr [at] quill [dot] test"), ("my number is (709) 555-0184 , call", "phone", "(709) 555-0184"), ("Tel. 030/23125-275", "phone", "030/23125-275"), ("SSN: 985 15 2720", "idnum", "985 15 2720"), ("con DNI 99469973X", "idnum", "99469973X"), ("to Flat 2, 72 Copperbeck Court, O", "address", "Flat 2, 72 Copperbeck Court"), ("地址：北溟市银杏街93号", "address", "北溟市银杏街93号"), ("/home/mosterbergh/cache", "login", "mosterbergh"), ("C:\\Users\\Jo Smith\\x", "login", "Jo Smith")]
