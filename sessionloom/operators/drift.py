@@ -385,6 +385,14 @@ def p6_found(spark, sf: str) -> DataFrame:
     return drift_report(written(ingest(lines, ["stream", "file_seq"]), "ingested")).select("stream", "file_seq", "field", "change")
 
 
+def p6_steps(spark, sf: str) -> DataFrame:
+    """What begins, ends and changes type with each file, before renames are told from it."""
+    lines = spark.read.parquet(f"{sf}/raw_lines.parquet")
+    ingested = written(ingest(lines, ["stream", "file_seq"]), "ingested")
+    files = ingested.select("stream", "file_seq").where("stream is not null and file_seq is not null")
+    return steps(presence(ingested), files).select("stream", "file_seq", "field", "change")
+
+
 def p6_table(spark, sf: str) -> DataFrame:
     """The consistent table: typed columns with renamed and retyped fields replayed, the rest as JSON."""
     lines = spark.read.parquet(f"{sf}/raw_lines.parquet")

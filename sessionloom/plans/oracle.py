@@ -45,6 +45,15 @@ scored as (select *, cast(printf('%.3f', s) as double) as score, case when s >=
 
 _NORM = "nullif(lower(regexp_replace(%s, '^\\s+|\\s+$', '', 'g')), '')"
 
+_FOREST = f"""with recursive e as (select file_path, line_no, row_id, {_NORM % 'uuid'} as uuid, {_NORM % 'parentUuid'} as parent, {_NORM % 'leafUuid'} as leaf, lower(trim(type)) as type from claude_entries),
+        head as (select file_path, uuid, parent from (select *, row_number() over (partition by file_path order by line_no, row_id) as n from e where uuid is not null) where n = 1),
+        sm as (select file_path, leaf from (select *, row_number() over (partition by file_path order by line_no, row_id) as n from e where type = 'summary' and leaf is not null) where n = 1),
+        lk as (select head.uuid, sm.leaf as parent from head join sm using (file_path) where head.parent is null and not exists (select 1 from e where e.file_path = head.file_path and e.uuid = sm.leaf)),
+        n as (select uuid, max(parent) as parent from (select uuid, parent from e where uuid is not null union all select uuid, parent from lk) group by uuid),
+        g as (select n.uuid, n.parent, p.uuid is not null as has from n left join n p on p.uuid = n.parent),
+        t(uuid, root_uuid, depth) as (select uuid, uuid, 0 from g where not has union all select g.uuid, t.root_uuid, t.depth + 1 from t join g on g.parent = t.uuid and g.has)"""
+_ROOTS = "select n.uuid, coalesce(t.root_uuid, 'cycle') as root_uuid, coalesce(t.depth, -1)::integer as depth from n left join t on t.uuid = n.uuid"
+
 SQL: dict[str, str] = {
     "conv_token_counts": f"with {_ROWS} select id, sum({_TOKENS})::bigint as n_tokens from t where role in ('user', 'assistant', 'tool') group by id",
     "conv_metrics": f"""with {_SCORED} select id, total_messages, total_tokens, user_turns, assistant_turns, tool_calls, tool_results, incomplete_tool_chains, thinking_tags, tool_error_count,
@@ -85,12 +94,25 @@ SQL: dict[str, str] = {
         edge as (select prev, min(anc.file_path) as nxt from anc join owner using (anchor) where prev <> anc.file_path group by prev),
         c(file_path, root, place) as (select file_path, file_path, 0::bigint from main where file_path not in (select nxt from edge) union all select edge.nxt, c.root, c.place + 1 from c join edge on edge.prev = c.file_path)
         select file_path, root, place from c""",
-    "p5_found": f"""with recursive e as (select file_path, line_no, row_id, {_NORM % 'uuid'} as uuid, {_NORM % 'parentUuid'} as parent, {_NORM % 'leafUuid'} as leaf, lower(trim(type)) as type from claude_entries),
-        head as (select file_path, uuid, parent from (select *, row_number() over (partition by file_path order by line_no, row_id) as n from e where uuid is not null) where n = 1),
-        sm as (select file_path, leaf from (select *, row_number() over (partition by file_path order by line_no, row_id) as n from e where type = 'summary' and leaf is not null) where n = 1),
-        lk as (select head.uuid, sm.leaf as parent from head join sm using (file_path) where head.parent is null and not exists (select 1 from e where e.file_path = head.file_path and e.uuid = sm.leaf)),
-        n as (select uuid, max(parent) as parent from (select uuid, parent from e where uuid is not null union all select uuid, parent from lk) group by uuid),
-        g as (select n.uuid, n.parent, p.uuid is not null as has from n left join n p on p.uuid = n.parent),
-        t(uuid, root_uuid, depth) as (select uuid, uuid, 0 from g where not has union all select g.uuid, t.root_uuid, t.depth + 1 from t join g on g.parent = t.uuid and g.has)
-        select n.uuid, coalesce(t.root_uuid, 'cycle') as root_uuid, coalesce(t.depth, -1)::integer as depth from n left join t on t.uuid = n.uuid""",
+    "p5_found": f"{_FOREST} {_ROOTS}",
+    "p5_contracted": f"{_FOREST} {_ROOTS}",
+    "p5_descendants": f"""{_FOREST},
+        r(uuid, descendant, distance) as (select g.parent, g.uuid, 1 from g join t on t.uuid = g.uuid where g.has union all select g.parent, r.descendant, r.distance + 1 from r join g on g.uuid = r.uuid where g.has)
+        select uuid, descendant, distance::integer as distance from r""",
+    "p6_steps": """with recursive o(stream, file_seq, line_id, prefix, doc) as (select stream, file_seq, line_id, '', line::json from raw_lines where json_valid(line) and json_type(line) = 'OBJECT'
+          union all select stream, file_seq, line_id, prefix || k || '.', json_extract(doc, '$."' || k || '"') from (select *, unnest(json_keys(doc)) as k from o) where json_type(doc, '$."' || k || '"') = 'OBJECT'),
+        v as (select stream, file_seq, prefix || k as field, case when t in ('VARCHAR', 'BOOLEAN', 'ARRAY', 'OBJECT') then t when t <> 'NULL' then 'NUMBER' end as kind from (select *, json_type(doc, '$."' || k || '"') as t from (select *, unnest(json_keys(doc)) as k from o))),
+        f as (select stream, file_seq, field, coalesce(list_sort(list(distinct kind) filter (kind is not null)), []) as kinds from v where stream is not null and file_seq is not null group by all),
+        n as (select stream, file_seq, row_number() over (partition by stream order by file_seq) as nth, lead(file_seq) over (partition by stream order by file_seq) as after from (select distinct stream, file_seq from raw_lines where stream is not null and file_seq is not null)),
+        p as (select f.*, nth, after, lag(nth) over w as before, lag(kinds) over w as was, lead(nth) over w as next from f join n using (stream, file_seq) window w as (partition by stream, field order by nth))
+        select stream, file_seq, field, 'added' as change from p where nth > 1 and coalesce(before <> nth - 1, true)
+        union all select stream, file_seq, field, 'type_changed' from p where before = nth - 1 and was <> kinds
+        union all select stream, after, field, 'removed' from p where after is not null and coalesce(next <> nth + 1, true)""",
+    "arrow_safe_records": f"""with {_ROWS}, tl as (select row_number() over () as rid, case when coalesce(tools, '[]') not in ('[]', '', 'null') then tools end as tools from conversation_records),
+        j as (select rid, id, pos, '{{' || concat_ws(',', '"role":' || to_json(role)::varchar, '"content":' || to_json(c)::varchar, '"name":' || to_json(m.name)::varchar, '"tool_call_id":' || to_json(m.tool_call_id)::varchar,
+          case when m.is_error is not null then '"is_error":' || m.is_error::varchar end,
+          case when len(m.tool_calls) > 0 then '"tool_calls":[' || array_to_string(list_transform(m.tool_calls, lambda x: '{{' || concat_ws(',', '"id":' || to_json(x.id)::varchar, '"type":' || to_json(x.type)::varchar,
+            '"function":{{' || concat_ws(',', '"name":' || to_json(x.function.name)::varchar, '"arguments":' || case when json_valid(x.function.arguments) then regexp_replace(x.function.arguments, '^[{_WS}]+|[{_WS}]+$', '', 'g') else to_json(x.function.arguments)::varchar end) || '}}') || '}}'), ',') || ']' end,
+          case when pos = 0 then '"tools":' || tl.tools end) || '}}' as json from (select m.rid, m.id, m.pos, m.m, m.m.role as role, m.m.content as c from m) left join tl using (rid))
+        select r.id, count(j.json) as n, coalesce(string_agg(j.json, chr(10) order by j.pos), '') as json from r left join j using (rid) group by r.rid, r.id""",
 }

@@ -164,8 +164,10 @@ QUERIES = {
 } | {
     "p3_found": instants.p3_found,
     "p5_found": hierarchy.p5_found,
+    "p5_contracted": hierarchy.p5_contracted,
     "p5_paths": hierarchy.p5_paths,
     "p5_descendants": hierarchy.p5_descendants,
     "p6_found": drift.p6_found,
+    "p6_steps": drift.p6_steps,
     "p6_table": drift.p6_table,
 }
