@@ -97,7 +97,7 @@ STREETS = (
     ("behind", [f" {w} " for w in "rue avenue boulevard bd place chemin impasse quai allée cours route".split()]),
     ("", "calle c/ avenida avda. av. plaza paseo rua travessa praça via viale piazza ул. улица пр. проспект пер. наб.".split() + list("市县区都道府県")),
 )
-_DIGIT, _TWO_DIGITS = re.compile(r"\d"), re.compile(r"\d[ .)/-]?\d")
+_DIGIT, _DIGITS, _TWO_DIGITS = re.compile(r"\d"), re.compile(r"\d+"), re.compile(r"\d[ .)/-]?\d")
 
 
 @functools.lru_cache(maxsize=1)
@@ -137,7 +137,7 @@ _LOGIN = (
 )
 
 _LABELS = ("ssn", "social", "steuer", "idnr", "tin", "tax", "pass", "pasaporte", "护照", "паспорт", "パスポート", "dni", "nie", "nif", "nin", "insurance", "身份证", "cpf", "инн", "снилс", "fiscale", "sécurité", "insee", "bsn", "pesel", "マイ", "주민")
-_LOGIN_MARKS = (("users", "documents and"), ("home", "users", "documents and", "~"), ("-home-", "-users-"), ("-users-",), ("-", "d"), ("chown",), ("sudo", "runuser", "su ", "user", "passwd"), ("=",))
+_LOGIN_MARKS = (("users", "documents and"), ("home", "users", "documents and", "~"), ("-home-", "-users-"), ("-users-",), ("rwx", "rws", "rw-", "r-x", "r-s", "r--", "-wx", "-ws", "-w-", "--x", "--s", "---"), ("chown",), ("sudo", "runuser", "su ", "su\t", "su\n", "useradd", "usermod", "userdel", "passwd", "adduser", "deluser"), ("uid=", "user=", "owner="))
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+|[^\w\s]|\n")
 _SHORTENED = re.compile(r"^[A-Za-z]{1,6}['’](?:m|s|d|ll|ve|re|t)$", re.I)
@@ -156,7 +156,7 @@ def _formats(text: str) -> list[tuple[int, int, str]]:
     low = text.lower()
     numbered = _TWO_DIGITS.search(text) is not None
     if "@" in low or "at" in low or "＠" in low:
-        for m in _EMAIL.finditer(text):
+        for m in _EMAIL.finditer(text) if "@" in text else ():
             local = m[0].split("@")[0].lower()
             before = text[max(0, m.start() - 1) : m.start()]
             userinfo = before in ("/", ":") and re.search(r"://[^\s/]*$", text[max(0, m.start() - 200) : m.start()])
@@ -213,10 +213,10 @@ def runs(text: str, blocked: list[tuple[int, int, str]]):
     """
     taken = sorted(blocked)
     begins = [x[0] for x in taken]
-    toks = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(text)]
+    toks = [(*m.span(), m[0]) for m in _TOKEN.finditer(text)]
     spans = [False] * len(toks)
     for i, (s, e, w) in enumerate(toks):
-        if len(w) < 2 or not w[0].isupper() or w.isupper() or _SHORTENED.search(w):
+        if not w[0].isupper() or len(w) < 2 or w.isupper() or (not w.isalpha() and _SHORTENED.search(w)):
             continue
         at = bisect_left(begins, e)
         if at and taken[at - 1][1] > s:
@@ -227,12 +227,10 @@ def runs(text: str, blocked: list[tuple[int, int, str]]):
         if after and (after in "_/\\@(" or after.isdigit() or (after == "." and e + 1 < len(text) and text[e + 1].isalpha())):
             continue
         spans[i] = True
-    if True not in spans:
-        return
-    i = 0
-    while i < len(toks):
-        if not spans[i]:
-            i += 1
+    heads = [k for k, is_word in enumerate(spans) if is_word]
+    done = 0
+    for i in heads:
+        if i < done:
             continue
         j = i
         while j + 1 < len(toks):
@@ -252,14 +250,14 @@ def runs(text: str, blocked: list[tuple[int, int, str]]):
         if left == "." and i > 1:
             left = toks[i - 2][2].lower() + "."
         right = toks[j + 1][2].lower() if j + 1 < len(toks) else "$"
-        left, right = (re.sub(r"\d+", "9", x) for x in (left, right))
+        left, right = (x if x.isalpha() else _DIGITS.sub("9", x) for x in (left, right))
         out = []
         for n, k in enumerate(words):
             # a run's first word has what is before it, its last what is after it; inner ones their neighbours' kind
             place = "only" if len(words) == 1 else "first" if n == 0 else "last" if n == len(words) - 1 else "mid"
             out.append((toks[k][0], toks[k][1], toks[k][2], f"{left if n == 0 else '*'}|{place}|{right if n == len(words) - 1 else '*'}|{left if n else ''}|{right if n < len(words) - 1 else ''}"))
         yield out
-        i = j + 1
+        done = j + 1
 
 
 def term(w: str) -> str:
