@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.session import written
+from sessionloom.session import drop_written, written
 
 
 def chains(links: DataFrame, owners: DataFrame) -> DataFrame:
@@ -26,12 +26,13 @@ def chains(links: DataFrame, owners: DataFrame) -> DataFrame:
     edge = edge.groupBy("prev").agg(F.min("file_path").alias("file_path"))
     state = main.select("file_path").join(edge, "file_path", "left").select("file_path", F.coalesce("prev", "file_path").alias("root"), F.when(F.col("prev").isNotNull(), 1).otherwise(0).cast("bigint").alias("place"), F.col("prev").isNull().alias("done"))
     state = written(state, "chains")
-    while state.where("not done").limit(1).count():
+    # a chain is at most as long as the table; what is longer runs in a cycle
+    limit = state.count()
+    while not state.where("not done").isEmpty():
         up = state.select(F.col("file_path").alias("root"), F.col("root").alias("up"), F.col("place").alias("more"), F.col("done").alias("up_done"))
-        step = state.join(up, "root").select("file_path", F.col("up").alias("root"), F.when(F.col("done"), F.col("place")).otherwise(F.col("place") + F.col("more")).alias("place"), (F.col("done") | F.col("up_done")).alias("done"))
-        # a chain is at most as long as the table; what is longer runs in a cycle
-        limit = state.count()
-        state = written(step.where(F.col("done") | (F.col("place") <= limit)), "chains")
+        step = state.where("not done").join(up, "root").select("file_path", F.col("up").alias("root"), (F.col("place") + F.col("more")).alias("place"), F.col("up_done").alias("done"))
+        before, state = state, written(state.where("done").unionByName(step.where(F.col("done") | (F.col("place") <= limit))), "chains")
+        drop_written(before)
     return state.select("file_path", "root", "place")
 
 
