@@ -563,6 +563,23 @@ def p4_found(spark, sf: str) -> DataFrame:
     return find_in(*_keyed(*_scanned_records(spark, sf))).select("id", "msg_no", "start_at", "kind").distinct()
 
 
+def disclosed_bits(terms: DataFrame) -> DataFrame:
+    """(term, listed, score, bits) of the terms at or above the threshold: ``bits`` is the pointwise mutual
+    information of the term and a person, log2(score / prior), the prior being the listed terms'
+    share of all terms of the corpus. A corpus without listed terms gives null bits."""
+    prior = terms.agg(F.avg(F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0)).alias("_prior"))
+    bits = F.when(F.col("_prior") > 0, F.log2(F.col("score") / F.col("_prior")))
+    # one row, joined on a constant
+    return terms.where(F.col("score") >= DISCLOSED).withColumn("_one", F.lit(1)).join(prior.withColumn("_one", F.lit(1)), "_one").select("term", F.col("kind").isNotNull().alias("listed"), "score", bits.alias("bits"))
+
+
+def p4_terms(spark, sf: str) -> DataFrame:
+    """What the corpus tells of persons by its terms."""
+    records = spark.read.parquet(f"{sf}/conversation_records.parquet").select("id", "messages", "metadata")
+    terms, _ = disclosure(context_counts(scan(texts(records), [])), spark.read.parquet(f"{sf}/name_list.parquet"))
+    return disclosed_bits(written(terms, "terms"))
+
+
 def p4_sanitised(spark, sf: str) -> DataFrame:
     """(id, msg_no, text): every content, and every cwd as msg_no -1, with placeholders."""
     return sanitise_rows(*_keyed(*_scanned_records(spark, sf)))

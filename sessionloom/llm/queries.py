@@ -9,6 +9,7 @@ QUERIES = {
     "p2_redacted": credentials.p2_redacted,
     "p4_found": personal.p4_found,
     "p4_sanitised": personal.p4_sanitised,
+    "p4_terms": personal.p4_terms,
     "p7_budget": budget.p7_budget,
     "p7_tokens": budget.p7_tokens,
     "p8_ids": bpe.p8_ids,
