@@ -251,7 +251,8 @@ def _batch(batch: pa.RecordBatch, key: str, rows: list[list], names: tuple, type
 
 def _ranges(text: Column, size: int) -> Column:
     """array<struct<range_no, left, begin, part>>: the text in chunks of ``size``, each with its halos."""
-    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    # possessive: the greedy form recurses where characters of one and two UTF-16 units alternate
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}+"), F.lit(0))
     before, behind = -(-LEFT // size), -(-RIGHT // size)
 
     def with_halo(cs: Column) -> Column:

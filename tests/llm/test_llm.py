@@ -77,6 +77,15 @@ def test_splitting(spark):
             assert r.piece == texts[d][r.start_at : r.end_at] and len(reference(r.piece)) <= 100
 
 
+def test_ranges_cover_a_text(spark):
+    texts = ["a😀" * 150_000, "é\n" * 9000, "x" * 4000]
+    rows = docs(spark, texts).select("doc_id", F.length("text").alias("length"), F.inline(splitting._ranges(F.col("text"), 4000))).collect()
+    for d, t in enumerate(texts):
+        own = sorted((r for r in rows if r.doc_id == d), key=lambda r: r.range_no)
+        assert [r.begin for r in own] == list(range(0, len(t), 4000)) and all(r.length == len(t) for r in own)
+        assert all(r.left == max(0, r.begin - splitting.LEFT) and r.part == t[r.left : r.begin + 4000 + splitting.RIGHT] for r in own)
+
+
 def test_ranges_of_real_texts(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     a, b = (sorted(splitting.split(table, size=size).collect()) for size in (1 << 18, 5000))
